@@ -32,8 +32,14 @@ def _col(c: ColumnOrName) -> Column:
 
 def lookup(c: ColumnOrName, mapping: dict) -> Column:
     """C11: value -> canonical value, null when unlisted. For fixed vocabularies."""
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.try_element_at(table, _col(c))
+    table = ", ".join(_sql_text(x) for pair in mapping.items() for x in pair)
+    return F.try_element_at(F.expr(f"map({table})"), _col(c))
+
+
+def _sql_text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def clean_text(c: ColumnOrName) -> Column:

@@ -58,8 +58,8 @@ def with_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def conform(df: DataFrame, spec: TableSpec, extra: list[str] | None = None) -> DataFrame:
-    """Columns and types of the table, in its order."""
+def conform(df: DataFrame, spec: TableSpec, extra: list[Column] | None = None) -> DataFrame:
+    """Columns and types of the table, in its order, then ``extra`` columns."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
     return with_defaults(df, spec).select(*typed, *(extra or []))
 
@@ -78,17 +78,22 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
                   existing: DataFrame | None = None) -> Insert:
     """Drop rows that break a rule or repeat a key; the first of a batch wins.
 
-    ``order`` is a total order of the batch and is not part of the table; without
-    it the keys of the batch must be unique already, and no row is reordered for
-    them. Rows without a key are never duplicates, as in SQL.
+    ``order`` names batch columns that form a total order. Without it the keys of
+    the batch must be unique already, and no row is shuffled to compare them.
+    Rows without a key are never duplicates, as in SQL.
     """
-    rows = conform(batch, spec, order).withColumn("reasons", violations(spec))
+    places = [F.col(c).alias(f"_place{i}") for i, c in enumerate(order)]
+    order = [f"_place{i}" for i in range(len(order))]
+    rows = conform(batch, spec, places).withColumn("reasons", violations(spec))
     valid = rows.where(F.size("reasons") == 0)
     rejected = rows.where(F.size("reasons") > 0)
     keyed = _keyed(spec)
     first = valid.where(keyed)
     if order:
-        first = keep_first(first, spec.key, order)
+        # Ranking valid rows first instead of filtering before keeps the filter from
+        # being pushed below, where it would evaluate every column twice.
+        broken = F.size("reasons") > 0
+        first = keep_first(rows.where(keyed), spec.key, [broken, *order]).where(~broken)
         # The order columns are unique, so this join has no hot key even if the key has.
         repeats = valid.where(keyed).join(first.select(*order), order, "left_anti").select(*rows.columns)
         rejected = rejected.unionByName(_because(repeats, "duplicate_in_batch"))

@@ -80,7 +80,8 @@ def load_clinical(store: Store, src: Sources, on_orphan: str = "raise") -> dict[
 def _insert_clinical(store: Store, rows: clinical.Clinical, treatments: DataFrame, on_orphan: str) -> None:
     store.insert("patients", rows.patients, rows.order, on_orphan)
     store.insert("tumors", rows.tumors, rows.order, on_orphan)
-    store.insert("treatments", treatments, ["treatment_id"], on_orphan)
+    # Running numbers are unique within a batch.
+    store.insert("treatments", treatments, [], on_orphan)
 
 
 def load_mutations(store: Store, src: Sources) -> int:

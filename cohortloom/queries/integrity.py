@@ -22,7 +22,7 @@ LINES = q.TableSpec(
     checks={**q.enum_check("l_returnflag", ["R", "A"]), "l_quantity": "l_quantity <= 45"},
     foreign_keys=[q.ForeignKey("l_suppkey", "supplier", "s_suppkey")],
 )
-ORDER = ["_ship", "_part", "_supp"]
+ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 _QUANTITY = "CASE WHEN l_suppkey % 17 = 0 THEN NULL ELSE l_quantity END"
 
 
@@ -30,8 +30,7 @@ def _load(t) -> q.Insert:
     """Lines with some quantities lost; those without tax are stored already."""
     batch = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.expr(_QUANTITY).alias("l_quantity"),
-        "l_returnflag", F.col("l_shipdate").alias("_ship"), F.col("l_partkey").alias("_part"),
-        F.col("l_suppkey").alias("_supp"))
+        "l_returnflag", "l_shipdate")
     existing = t.lineitem.where(F.col("l_tax") == 0).select(*LINES.key)
     return q.insert_ignore(LINES, batch, ORDER, existing)
 
