@@ -74,7 +74,11 @@ class Prepared:
 
 
 def prepare(cells: DataFrame, min_samples: int = 10, max_missing: float = 0.5) -> Prepared | None:
-    """D8, D9, D11. None when no feature or no sample is left."""
+    """D8, D9, D11. None when no feature or no sample is left.
+
+    The cells are written once: four passes follow, and cells are costly to derive.
+    """
+    cells = checkpointed(cells)
     covered = checked_broadcast(feature_coverage(cells, min_samples).select("feature"))
     n_features = covered.count()
     if n_features == 0:

@@ -55,9 +55,11 @@ def shared_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.select(key).intersect(b.select(key))
 
 
-def flag_members(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """0/1 column. ``keys`` is a one-column table named like ``key``."""
-    marked = checked_broadcast(keys.select(key).distinct().withColumn("_hit", F.lit(1)))
+def flag_members(df: DataFrame, keys: DataFrame, key: str, flag: str, large: bool = True) -> DataFrame:
+    """0/1 column. With a ``large`` ``df`` it pays to size the keys beforehand,
+    as a small set then spares shuffling ``df``; otherwise the optimizer decides."""
+    marked = keys.select(key).distinct().withColumn("_hit", F.lit(1))
+    marked = checked_broadcast(marked) if large else marked
     return df.join(marked, key, "left").withColumn(
         flag, F.col("_hit").isNotNull().cast("int")
     ).drop("_hit")

@@ -41,7 +41,7 @@ def mutations(t):
     """Line items with their part's brand as gene; the panel is flagged on the parts."""
     genes = t.part.select("p_partkey", F.col("p_brand").alias("gene_symbol"))
     panel = t.part.where("p_type = 'PROMO' AND p_size = 1").select(F.col("p_brand").alias("gene_symbol"))
-    flagged = flag_members(genes, panel, "gene_symbol", "in_metabric_panel")
+    flagged = flag_members(genes, panel, "gene_symbol", "in_metabric_panel", large=False)
     return t.lineitem.join(flagged, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("mutation_id"),
         F.col("l_orderkey").alias("tumor_id"), "gene_symbol", F.col("l_discount").alias("vaf"),

@@ -35,6 +35,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # No call-site capture per column expression: it dominates plan building.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

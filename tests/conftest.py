@@ -10,7 +10,7 @@ from cohortloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cpus=8, shuffle_partitions=8)
+    session = local_session(cpus=8, shuffle_partitions=4)
     yield session
     session.stop()
 

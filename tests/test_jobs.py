@@ -1,6 +1,8 @@
 """Load jobs on small files with answers worked out by hand."""
 
+import dataclasses
 import math
+import shutil
 
 import numpy as np
 import pytest
@@ -27,8 +29,23 @@ def biotab(header, *lines):
     return tsv(header, *[j * n for j in JUNK], *lines)
 
 
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    """The source files, written once."""
+    folder = tmp_path_factory.mktemp("sources")
+
+    def write(name, text):
+        (folder / name).write_text(text)
+        return str(folder / name)
+    return source_files(write)
+
+
 @pytest.fixture
-def src(write):
+def src(files):
+    return dataclasses.replace(files)
+
+
+def source_files(write):
     records = tsv(
         "bcr_patient_barcode type age_at_initial_pathologic_diagnosis OS OS.time PFI PFI.time race ethnicity "
         "er_status_by_ihc her2_status_by_ihc paper_BRCA_Subtype_PAM50 histological_type "
@@ -116,10 +133,18 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "db"))
 
 
+@pytest.fixture(scope="module")
+def clinical_store(spark, files, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("clinical") / "db")
+    jobs.load_clinical(Store(spark, folder), files)
+    return folder
+
+
 @pytest.fixture
-def loaded(store, src):
-    jobs.load_clinical(store, src)
-    return store
+def loaded(spark, clinical_store, tmp_path):
+    """A store of its own with the clinical tables."""
+    shutil.copytree(clinical_store, tmp_path / "db")
+    return Store(spark, str(tmp_path / "db"))
 
 
 PATIENTS = ["patient_id", "study_source", "age_at_diagnosis", "sex", "race", "ethnicity", "menopausal_status",
