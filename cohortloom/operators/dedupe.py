@@ -54,37 +54,24 @@ def sequential_ids(df: DataFrame, name: str, prefix: str, order: list[str], widt
         name, F.format_string(f"{prefix}%0{width}d", "_number")).drop("_number")
 
 
-def copy_ranks(df: DataFrame, key: list[str], order: list[str], name: str = "copy_rank") -> DataFrame:
-    """Number the rows that share ``key`` 1..n in ``order``.
-
-    The leading ``order`` columns name the scan split of a row. Rows are ranked
-    within a split, and splits are chained by their sizes, so a key with very many
-    copies is spread over as many groups as it has splits.
-    """
-    *split, row = order
-    local = df.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*key, *split).orderBy(row))
-    )
-    sizes = df.groupBy(*key, *split).agg(F.count("*").alias("_n"))
-    earlier = (
-        Window.partitionBy(*key).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return (
-        local.join(offsets.drop("_n"), [*key, *split])
-        .withColumn(name, (F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_offset", "_local")
-    )
-
-
-def content_ids(df: DataFrame, name: str, prefix: str, key: list[str], order: list[str]) -> DataFrame:
+def content_ids(df: DataFrame, name: str, prefix: str, key: list[str], chunk: int = 10_000) -> DataFrame:
     """E5: ``prefix`` + 12 hex digits of the hashed row content and copy number.
 
-    Reloading the same rows gives the same ids, so loads can be repeated.
+    Equal rows are counted, which collapses copies before the shuffle, and written
+    out again with numbers 1..n, the rare large counts in chunks over many tasks.
+    All other columns must follow from ``key``. Reloading the same rows gives the
+    same ids, so loads can be repeated.
     """
-    parts = {f"_k{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(key)}
-    ranked = copy_ranks(df.withColumns(parts), list(parts), order, "_copy")
-    text = F.concat_ws(chr(31), *parts, F.col("_copy").cast("string"))
-    return ranked.withColumn(
-        name, F.concat(F.lit(prefix), F.substring(F.sha2(text, 256), 1, 12))
-    ).drop(*parts, "_copy")
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    n, part = F.col("_n"), F.col("_part")
+    few = counted.where(n <= chunk).select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("_copy"))
+    many = (
+        counted.where(n > chunk)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / chunk))).alias("_part"))
+        .repartition("_part", *key)
+        .select("*", F.explode(F.sequence(part * chunk + 1, F.least(n, (part + 1) * chunk))).alias("_copy"))
+        .drop("_part")
+    )
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*key, "_copy"]]
+    digits = F.substring(F.sha2(F.concat_ws(chr(31), *parts), 256), 1, 12)
+    return few.unionByName(many).withColumn(name, F.concat(F.lit(prefix), digits)).drop("_n", "_copy")

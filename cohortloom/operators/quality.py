@@ -85,17 +85,16 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
     places = [F.col(c).alias(f"_place{i}") for i, c in enumerate(order)]
     order = [f"_place{i}" for i in range(len(order))]
     rows = conform(batch, spec, places).withColumn("reasons", violations(spec))
-    valid = rows.where(F.size("reasons") == 0)
-    rejected = rows.where(F.size("reasons") > 0)
-    keyed = _keyed(spec)
-    first = valid.where(keyed)
+    broken = F.size("reasons") > 0
+    rejected = rows.where(broken)
+    first = rows.where(~broken)
     if order:
         # Ranking valid rows first instead of filtering before keeps the filter from
         # being pushed below, where it would evaluate every column twice.
-        broken = F.size("reasons") > 0
-        first = keep_first(rows.where(keyed), spec.key, [broken, *order]).where(~broken)
+        key = [*spec.key, *_row_of_its_own(spec, order)]
+        first = keep_first(rows, key, [broken, *order]).where(~broken)
         # The order columns are unique, so this join has no hot key even if the key has.
-        repeats = valid.where(keyed).join(first.select(*order), order, "left_anti").select(*rows.columns)
+        repeats = rows.where(~broken).join(first.select(*order), order, "left_anti").select(*rows.columns)
         rejected = rejected.unionByName(_because(repeats, "duplicate_in_batch"))
     stored = first
     if existing is not None:
@@ -103,20 +102,19 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
         stored = first.join(known, spec.key, "left_anti").select(*rows.columns)
         old = first.join(known, spec.key, "left_semi").select(*rows.columns)
         rejected = rejected.unionByName(_because(old, "already_stored"))
-    if any(k not in spec.not_null for k in spec.key):
-        stored = stored.unionByName(valid.where(~keyed))
     return Insert(stored.drop(*order, "reasons"), rejected.drop(*order), rows.drop(*order, "reasons"))
 
 
-def _because(rows: DataFrame, reason: str) -> DataFrame:
-    return rows.withColumn("reasons", F.array(F.lit(reason)))
+def _row_of_its_own(spec: TableSpec, order: list[str]) -> list[Column]:
+    """Extra key that sets rows without a key apart, if the table allows them."""
+    nullable = [F.col(k).isNull() for k in spec.key if k not in spec.not_null]
+    if not nullable:
+        return []
+    return [F.when(F.greatest(*nullable, F.lit(False)), F.struct(*order))]
 
 
-def _keyed(spec: TableSpec) -> Column:
-    cond = F.lit(True)
-    for k in spec.key:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+def _because(rows: DataFrame, reason: str) -> DataFrame:
+    return rows.withColumn("reasons", F.array(F.lit(reason)))
 
 
 def orphan_keys(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:

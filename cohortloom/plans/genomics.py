@@ -10,7 +10,7 @@ from ..functions import clean as c, vocab
 from ..operators.dedupe import content_ids
 from ..operators.lookup import checked_broadcast, flag_members, members, shared_keys
 from ..operators.reshape import explode_samples, first_known, last_known, line_scores, z_score
-from ..sources.delimited import LINE_ORDER, col_or_null, rename_headers
+from ..sources.delimited import col_or_null, rename_headers
 from ..sources.matrix import Matrix, column_map, unique_lines, with_sample_values
 
 CONTENT = [
@@ -50,7 +50,6 @@ def _variants(source: DataFrame, tumor_id: Callable[[Column], Column], vaf: Colu
         c.first_clean(col("hgvsp"), col("hgvsp_long")).alias("hgvsp"),
         vaf.alias("vaf"),
         F.lit(scope).alias("sequencing_scope"),
-        *LINE_ORDER,
     ).where(F.col("gene_symbol").isNotNull())
 
 
@@ -61,7 +60,7 @@ def exome_variants(source: DataFrame, tumors: DataFrame, panel: DataFrame) -> Da
                      vocab.BUILD_TARGET, "WES")
     flagged = flag_members(members(rows, tumors.select("tumor_id"), "tumor_id"), panel,
                            "gene_symbol", "in_metabric_panel")
-    return content_ids(flagged, "mutation_id", "TCGA-MUT-", CONTENT, LINE_ORDER)
+    return content_ids(flagged, "mutation_id", "TCGA-MUT-", CONTENT)
 
 
 def panel_variants(source: DataFrame, tumors: DataFrame) -> DataFrame:
@@ -70,7 +69,7 @@ def panel_variants(source: DataFrame, tumors: DataFrame) -> DataFrame:
     rows = _variants(named, c.clean_text, F.lit(None).cast("double"), vocab.BUILD_SOURCE, "PANEL")
     known = members(rows, tumors.select("tumor_id"), "tumor_id").withColumn(
         "in_metabric_panel", F.lit(1))
-    return content_ids(known, "mutation_id", "MB-MUT-", CONTENT, LINE_ORDER)
+    return content_ids(known, "mutation_id", "MB-MUT-", CONTENT)
 
 
 # ---- matrices ----

@@ -11,7 +11,6 @@ from ..functions import vocab
 from ..operators.quality import insert_ignore
 from ..plans import clinical, genomics
 from ..plans.schema import PATIENTS, TUMORS
-from ..sources.delimited import LINE_ORDER
 from .registry import query, sql_list, sql_map, sql_pick
 from .scalars import _OS, _RECEPTOR_SQL, _STATES
 
@@ -310,12 +309,10 @@ _VARIANT_SQL = f"""
     FROM v JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P' WHERE {sql_clean("Hugo_Symbol")} IS NOT NULL""")
 def exome_variants(t):
     source = bronze(t.lineitem, {**VARIANTS, "Tumor_Sample_Barcode": "concat('TCGA-X-', l_orderkey, '-01A-11')"}, "l_orderkey")
-    # The order only has to tell copies of a row apart.
-    source = source.withColumn("_line", F.xxhash64(*[c for c in source.columns if c not in LINE_ORDER]))
     tumors = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("TCGA-X-"), "o_orderkey", F.lit("-01")).alias("tumor_id"))
     panel = genomics.panel_genes(source.where("t_alt_count = '0' AND Chromosome = '1'"), t.spark)
     rows = genomics.exome_variants(source, tumors, panel)
-    return rows.drop("mutation_id", *LINE_ORDER).withColumn("vaf", F.round("vaf", 4))
+    return rows.drop("mutation_id").withColumn("vaf", F.round("vaf", 4))
 
 
 @query("q_p7", f"""
@@ -327,6 +324,5 @@ def exome_variants(t):
 def panel_variants(t):
     barcode = "CASE WHEN l_tax = 0 THEN 'NA' ELSE concat(' MB-', l_orderkey, ' ') END"
     source = bronze(t.lineitem, {**VARIANTS, "Tumor_Sample_Barcode": barcode}, "l_orderkey")
-    source = source.withColumn("_line", F.xxhash64(*[c for c in source.columns if c not in LINE_ORDER]))
     tumors = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("MB-"), "o_orderkey").alias("tumor_id"))
-    return genomics.panel_variants(source, tumors).drop("mutation_id", *LINE_ORDER)
+    return genomics.panel_variants(source, tumors).drop("mutation_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as c, vocab
 from ..operators import dedupe, lookup
 from ..plans import report
-from ..sources.delimited import LINE_ORDER, col_or_null, empty_table, rename_headers, with_line_order
+from ..sources.delimited import col_or_null, empty_table, rename_headers
 from .registry import query, sql_list, sql_pick
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -221,8 +221,8 @@ def numbered(t):
     SELECT l_orderkey, l_linenumber, 'MUT-' || substr(sha256(l_orderkey || chr(31) || l_linenumber || chr(31) ||
            row_number() OVER (PARTITION BY l_orderkey, l_linenumber)), 1, 12) AS mutation_id FROM lineitem""")
 def hashed(t):
-    lines = with_line_order(t.lineitem).select("l_orderkey", "l_linenumber", *LINE_ORDER)
-    return dedupe.content_ids(lines, "mutation_id", "MUT-", ["l_orderkey", "l_linenumber"], LINE_ORDER).drop(*LINE_ORDER)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber")
+    return dedupe.content_ids(lines, "mutation_id", "MUT-", ["l_orderkey", "l_linenumber"])
 
 
 # ---- counts ----

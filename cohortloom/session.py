@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # later on: one key may hold a third of the rows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods beyond 8000 bytes; wide cleaning projections
+    # are far faster as split per-operator code than as one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 

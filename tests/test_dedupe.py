@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import dedupe
-from cohortloom.sources.delimited import LINE_ORDER
 from conftest import rows
 
 
@@ -44,20 +43,16 @@ def test_sequential_ids_grow_past_the_width(data):
         f"{i:02d}" for i in range(1, 601)}
 
 
-def test_content_ids_number_copies_across_splits(spark):
-    # 40 identical rows spread over 5 splits, and a few others.
-    data = [("a", "f", 100 * (i % 5), i) for i in range(40)] + [("b", "f", 0, 90), (None, "g", 0, 91)]
-    df = spark.createDataFrame(data, f"x string, {LINE_ORDER[0]} string, {LINE_ORDER[1]} long, {LINE_ORDER[2]} long")
-    ids = [r[0] for r in dedupe.content_ids(df, "id", "P-", ["x"], LINE_ORDER).select("id").collect()]
+@pytest.mark.parametrize("chunk", [7, 10_000])
+def test_content_ids_number_copies(spark, chunk):
+    # 40 identical rows among a few others.
+    df = spark.createDataFrame([("a", 1)] * 40 + [("b", 2), (None, 3)], "x string, y int").repartition(5)
+    got = dedupe.content_ids(df, "id", "P-", ["x"], chunk)
 
     def expected(x, n):
         return "P-" + hashlib.sha256(f"{x}\x1f{n}".encode()).hexdigest()[:12]
-    assert sorted(ids) == sorted([expected("a", n) for n in range(1, 41)] + [expected("b", 1), expected("", 1)])
-    again = dedupe.content_ids(df.repartition(7, "x"), "id", "P-", ["x"], LINE_ORDER)
-    assert sorted(r[0] for r in again.select("id").collect()) == sorted(ids)
-
-
-def test_copy_ranks_follow_the_order(spark):
-    df = spark.createDataFrame([("a", "f", b, l) for b in (0, 1) for l in range(3)],
-                               "k string, f string, b long, l long").withColumn("n", F.col("b") * 3 + F.col("l") + 1)
-    assert all(n == r for n, r in rows(dedupe.copy_ranks(df, ["k"], ["f", "b", "l"]), "n", "copy_rank"))
+    assert sorted(r[0] for r in got.select("id").collect()) == sorted(
+        [expected("a", n) for n in range(1, 41)] + [expected("b", 1), expected("", 1)])
+    assert rows(got.groupBy("x", "y").count()) == [("a", 1, 40), ("b", 2, 1), (None, 3, 1)]
+    again = dedupe.content_ids(df.repartition(7, "x"), "id", "P-", ["x"])
+    assert rows(again) == rows(got)
