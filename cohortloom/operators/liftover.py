@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import vocab
+from .lookup import checked_broadcast
 
 BIN_BITS = 14
+# A piece takes about 100 bytes; chains between two assemblies of a genome give
+# some hundred thousand pieces.
+BROADCAST_PIECES = 1_000_000
 
 
 def best_pieces(blocks: DataFrame, bin_bits: int = BIN_BITS) -> DataFrame:
@@ -105,17 +109,20 @@ def lift_position(df: DataFrame, pieces: DataFrame, chrom: str, position: str, t
 
 
 def lift_variants(variants: DataFrame, blocks: DataFrame, bin_bits: int = BIN_BITS,
-                  prefixed: bool = True) -> DataFrame:
+                  prefixed: bool = True, broadcast_pieces: int = BROADCAST_PIECES) -> DataFrame:
     """I4: lift start and end independently and set the build.
 
     Rows are unmapped when the start has no hit or the end lands on another
     chromosome; those keep their coordinates. A missing hit of the end alone
     leaves a null end. Rows of other builds pass through unchanged.
     ``lift_outcome`` is lifted, unmapped or cross_chromosome, null if not lifted.
+
+    Up to ``broadcast_pieces`` pieces, no variant is shuffled; beyond, both joins
+    shuffle by (chromosome, bin) and hot positions are split.
     """
     columns = variants.columns
     is_source = F.col("reference_genome").eqNullSafe(vocab.BUILD_SOURCE)
-    pieces = best_pieces(blocks, bin_bits)
+    pieces = checked_broadcast(best_pieces(blocks, bin_bits), broadcast_pieces)
     started = lift_position(variants.where(is_source), pieces, "chromosome", "start_position",
                             "_s_chrom", "_s_pos", bin_bits, prefixed)
     ended = lift_position(started, pieces, "chromosome", "end_position",
