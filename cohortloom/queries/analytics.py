@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import clean as c, vocab
 from ..operators import combat, liftover, reshape
 from ..operators.lookup import flag_members
-from ..plans import report, views
+from ..plans import genomics, report, views
+from ..sources.matrix import Matrix
 from .registry import query, sql_pick
 
 # ---- views ----
@@ -160,6 +161,64 @@ def z_scores(t):
     return scored.select("feature", "sample", "value", (F.col("z_score") + 0.0).alias("z_score"))
 
 
+# One text line per user and a column per event type; click and view share a sample,
+# signup and error are no known samples. Empty and NA cells are missing.
+_LINES = "SELECT user_id, " + ", ".join(
+    f"max(CASE WHEN event_type = '{e}' AND value > 40 THEN event_id END) AS {e}" for e in _EVENT_TYPES
+) + " FROM events GROUP BY user_id"
+_SAMPLES = {"click": "web", "view": "web", "purchase": "shop"}
+
+
+def _lines(t):
+    t.events.createOrReplaceTempView("events")
+    texts = [F.coalesce(F.col(e).cast("string"), F.lit("" if e == "click" else "NA")) for e in _EVENT_TYPES]
+    lines = t.spark.sql(_LINES).select(
+        F.concat(F.lit("G"), "user_id").alias("label"), F.concat(F.col("user_id"), F.lit(".0")).alias("entrez_text"),
+        F.concat_ws("\t", F.lit("G"), *texts).alias("value"),
+        F.lit("f").alias("_file"), F.lit(0).cast("bigint").alias("_block"), F.col("user_id").alias("_line"))
+    header = t.spark.createDataFrame(list(enumerate(_EVENT_TYPES, 1)), "pos int, sample string")
+    return Matrix(lines, header)
+
+
+def _sample_id(name):
+    return F.coalesce(c.lookup(name, _SAMPLES), F.col(name))
+
+
+def _known_samples(t):
+    return t.spark.createDataFrame([(s,) for s in sorted(set(_SAMPLES.values()))], "tumor_id string")
+
+
+@query("q_g2_lines", f"""
+    WITH w AS ({_LINES}), v AS (SELECT user_id, unnest([view, click, purchase])::DOUBLE AS x FROM w),
+    stats AS (SELECT user_id, avg(x) AS mu, sqrt(var_pop(x) * 3 / 2) AS sigma FROM v GROUP BY user_id),
+    stored AS (SELECT user_id, 'web' AS tumor_id, coalesce(click, view)::DOUBLE AS x FROM w
+               UNION ALL SELECT user_id, 'shop', purchase::DOUBLE FROM w)
+    SELECT tumor_id, 'G' || user_id AS gene_symbol, user_id AS entrez_id, x AS expression_value,
+           CASE WHEN sigma > 0 THEN round((x - mu) / sigma, 4) + 0.0 ELSE 0.0 END AS expression_z_score, 'RNA-seq' AS platform
+    FROM stored JOIN stats USING (user_id) WHERE x IS NOT NULL""")
+def expression_lines(t):
+    rows = genomics.expression_rows(_lines(t), _sample_id, _known_samples(t), None, "RNA-seq")
+    return rows.withColumn("expression_z_score", F.col("expression_z_score") + 0.0)
+
+
+@query("q_g3_lines", f"""
+    WITH w AS ({_LINES.replace("event_id END", "event_id % 8 - 4 END")}), f AS (SELECT user_id, {", ".join(
+        f"CASE WHEN {e} BETWEEN -2 AND 2 THEN {e} END AS {e}" for e in _SAMPLES)} FROM w)
+    SELECT tumor_id, 'G' || user_id AS gene_symbol, CAST(x AS INTEGER) AS gistic_value, NULL::DOUBLE AS log2_ratio FROM
+      (SELECT user_id, 'web' AS tumor_id, coalesce(click, view) AS x FROM f UNION ALL SELECT user_id, 'shop', purchase FROM f)
+    WHERE x IS NOT NULL""")
+def copy_number_lines(t):
+    events = t.events.withColumn("event_id", F.col("event_id") % 8 - 4)
+    return genomics.copy_number_rows(_lines(Events(t.spark, events)), _sample_id, _known_samples(t), None)
+
+
+class Events:
+    """The one table the matrix lines are made from."""
+
+    def __init__(self, spark, events):
+        self.spark, self.events = spark, events
+
+
 @query("q_g3", """
     SELECT gene_symbol, sample, CAST(v AS INTEGER) AS gistic_value, CAST(NULL AS DOUBLE) AS log2_ratio
     FROM (SELECT p_brand AS gene_symbol, l_suppkey AS sample, count(*) % 7 - 3 AS v

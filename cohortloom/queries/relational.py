@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as c, vocab
 from ..operators import dedupe, lookup
 from ..plans import report
-from ..sources.delimited import col_or_null, empty_table, rename_headers
+from ..sources.delimited import col_or_null, drop_leading_rows, empty_table, rename_headers
 from .registry import query, sql_list, sql_pick
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -15,6 +15,16 @@ LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 # ---- scans and filters ----
 
+@query("q_a2", """
+    SELECT o_orderkey, o_orderstatus FROM
+      (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS rn FROM orders) WHERE rn > 2""")
+def leading_rows(t):
+    """Each status stands for a file whose first two rows are no data."""
+    lines = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_orderstatus").alias("_file"),
+                            F.lit(0).cast("bigint").alias("_block"), F.col("o_orderkey").alias("_line"))
+    return drop_leading_rows(lines, 2).select("o_orderkey", "o_orderstatus")
+
+
 @query("q_a7", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def missing_source(t):
     present = t.customer.select("c_custkey", "c_name", "c_mktsegment")

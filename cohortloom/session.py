@@ -41,6 +41,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         # No call-site capture per column expression: it dominates plan building.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
