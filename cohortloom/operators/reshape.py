@@ -7,6 +7,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .lookup import checked_broadcast
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Evaluate all columns here. The optimizer would move a column that only a
+    lambda uses into that lambda and evaluate it for every element."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def unpivot(df: DataFrame, index: list[str], columns: list[str], variable: str, value: str) -> DataFrame:
     """G1 for tables with few columns; nulls stay. Wide text goes through the matrix source."""
     cells = F.array(*[F.struct(F.lit(c).alias(variable), F.col(c).alias(value)) for c in columns])
@@ -57,18 +63,25 @@ def feature_scores(cells: DataFrame, feature: str, value: str, n_columns: int) -
 def line_scores(lines: DataFrame) -> DataFrame:
     """D5 on matrix lines: adds mean and sigma over all matched columns of a line.
 
-    Needs no shuffle: a line holds all cells of its feature.
+    Needs no shuffle: a line holds all cells of its feature. The running mean and
+    squares need one pass and nothing from outside the lambda.
     """
     every = F.flatten(F.transform("samples", lambda s: s["values"]))
-    known = F.filter("_all", lambda x: x.isNotNull())
-    total = F.aggregate("_known", F.lit(0.0), lambda a, x: a + x)
-    squares = F.aggregate("_known", F.lit(0.0), lambda a, x: a + (x - F.col("mean")) * (x - F.col("mean")))
-    n_known = F.nullif(F.size("_known"), F.lit(0))
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(a: Column, x: Column) -> Column:
+        n = a["n"] + 1
+        mean = a["mean"] + (x - a["mean"]) / n
+        grown = F.struct(n.alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2"))
+        return F.when(x.isNull(), a).otherwise(grown)
+
+    stats = F.struct(F.size("_all").alias("columns"), F.aggregate("_all", zero, add).alias("known"))
+    known = F.nullif(F.col("_stats.known.n"), F.lit(0.0))
     return (
-        lines.withColumn("_all", every).withColumn("_known", known)
-        .withColumn("mean", total / n_known)
-        .withColumn("sigma", spread(squares / n_known, F.size("_all")))
-        .drop("_all", "_known")
+        settled(lines.withColumn("_all", every).withColumn("_stats", stats).drop("_all"))
+        .withColumn("mean", F.when(known.isNotNull(), F.col("_stats.known.mean")))
+        .withColumn("sigma", spread(F.col("_stats.known.m2") / known, F.col("_stats.columns")))
+        .drop("_stats")
     )
 
 
@@ -82,9 +95,12 @@ def explode_samples(lines: DataFrame, pick: Column, keep: list[str]) -> DataFram
     )
 
 
-def first_known(values: str = "values") -> Column:
-    """First stored column wins (S1 on the sample key)."""
-    return F.get(F.filter(values, lambda x: x.isNotNull()), F.lit(0))
+def first_known(values: str = "values", domain: list | None = None) -> Column:
+    """First stored column wins (S1 on the sample key); values may be limited to a domain."""
+    def keep(x: Column) -> Column:
+        return x.isNotNull() if domain is None else x.isin(domain)
+
+    return F.get(F.filter(values, keep), F.lit(0))
 
 
 def last_known(values: str = "values") -> Column:

@@ -103,7 +103,7 @@ def expression_rows(matrix: Matrix, sample_id: Callable[[str], Column], tumors:
     first with a value is stored. Keys are unique by construction.
     """
     columns = column_map(matrix.header, sample_id, tumors.select(F.col("tumor_id").alias("sample_id")))
-    lines = line_scores(with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double))
+    lines = line_scores(with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double, "double"))
     cells = explode_samples(lines, first_known(), ["label", "entrez_text", "mean", "sigma"])
     return cells.where(F.col("value").isNotNull()).select(
         F.col("sample_id").alias("tumor_id"), F.col("label").alias("gene_symbol"),
@@ -115,20 +115,15 @@ def expression_rows(matrix: Matrix, sample_id: Callable[[str], Column], tumors:
     )
 
 
-def gistic(cell: Column) -> Column:
-    """Whole numbers of the domain, else null."""
-    return c.in_domain(c.parse_long(cell), vocab.GISTIC_VALUES).cast("int")
-
-
 def copy_number_rows(matrix: Matrix, sample_id: Callable[[str], Column], tumors: DataFrame,
                      shared: DataFrame | None) -> DataFrame:
     """Discrete values per tumor and gene; values outside the domain give no row."""
     columns = column_map(matrix.header, sample_id, tumors.select(F.col("tumor_id").alias("sample_id")))
-    lines = with_sample_values(_chosen_lines(matrix, shared), columns, gistic)
-    cells = explode_samples(lines, first_known(), ["label"])
+    lines = with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_long, "bigint")
+    cells = explode_samples(lines, first_known(domain=vocab.GISTIC_VALUES), ["label"])
     return cells.where(F.col("value").isNotNull()).select(
         F.col("sample_id").alias("tumor_id"), F.col("label").alias("gene_symbol"),
-        F.col("value").alias("gistic_value"), F.lit(None).cast("double").alias("log2_ratio"),
+        F.col("value").cast("int").alias("gistic_value"), F.lit(None).cast("double").alias("log2_ratio"),
     )
 
 
@@ -150,7 +145,7 @@ def batch_cells(matrices: list[tuple[Matrix, Callable[[str], Column]]], tumor_st
         return None
     parts = []
     for rank, ((matrix, _), columns) in enumerate(zip(matrices, maps)):
-        lines = with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double)
+        lines = with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double, "double")
         parts.append(explode_samples(lines, last_known(), ["label"]).withColumn("_rank", F.lit(rank)))
     cells = parts[0].unionByName(parts[1])
     if not maps[0].join(maps[1], "sample_id", "left_semi").isEmpty():

@@ -1,13 +1,17 @@
 """File sources: comments, junk rows, headers, wide matrices."""
 
 import gzip
+import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions import vocab
+from cohortloom.functions.clean import parse_double
+from cohortloom.operators.reshape import explode_samples, first_known, line_scores
 from cohortloom.sources import delimited as d
-from cohortloom.sources.matrix import read_matrix, unique_lines
+from cohortloom.sources.matrix import column_map, read_matrix, unique_lines, with_sample_values
 from conftest import rows
 
 
@@ -103,3 +107,33 @@ def test_matrix_with_many_lines_keeps_the_first(spark, write, small_splits):
     m = read_matrix(spark, write("m.txt", text))
     got = unique_lines(m.lines).select("label", F.split("value", "\t")[1].alias("v"))
     assert dict(rows(got)) == first
+
+
+def test_plain_and_other_lines_read_cells_alike(spark, write):
+    cells = ["1", "-2.5", "1e3", "NA", "", "5.", "+-1", "A", "N1", "1E", "+.5"]
+    odd = [*cells[:-1], "1d", "0x1p3", " 7", "nan", "inf"]
+    text = "\t".join(["G", *(f"s{i}" for i in range(15))]) + "\n"
+    m = read_matrix(spark, write("m.txt", text + "\t".join(["P", *cells]) + "\n" + "\t".join(["Q", *odd]) + "\n"), None)
+    columns = column_map(m.header, F.col, m.header.select(F.col("sample").alias("sample_id")))
+    strict = [1.0, -2.5, 1000.0, None, None, 5.0, None, None, None, None]
+    got = {}
+    for label, sample, value in rows(explode_samples(
+            with_sample_values(m.lines, columns, parse_double, "double"), first_known(), ["label"])):
+        got.setdefault(label, {})[int(sample[1:])] = value
+    assert [got["P"][i] for i in range(11)] == [*strict, 0.5]
+    assert [got["Q"][i] for i in range(13)] == [*strict, None, None, None]
+    assert math.isnan(got["Q"][13]) and got["Q"][14] == math.inf
+    assert [got["P"][i] for i in range(11, 15)] == [None] * 4
+
+
+def test_wide_lines_are_linear(spark, write):
+    """One long line: a per-cell split of the line would take minutes."""
+    n = 6000
+    text = "G\t" + "\t".join(f"s{i}" for i in range(n)) + "\n" + "".join(
+        f"g{k}\t" + "\t".join(str(i % 10) for i in range(n)) + "\n" for k in range(20))
+    m = read_matrix(spark, write("w.txt", text), None)
+    columns = column_map(m.header, F.col, m.header.select(F.col("sample").alias("sample_id")))
+    scored = line_scores(with_sample_values(m.lines, columns, parse_double, "double"))
+    start = time.time()
+    assert explode_samples(scored, first_known(), ["label", "mean"]).where("round(mean, 9) = 4.5").count() == 20 * n
+    assert time.time() - start < 30
