@@ -31,13 +31,15 @@ def panel_genes(source: DataFrame | None, spark: SparkSession) -> DataFrame:
     return fallback if genes.isEmpty() else genes
 
 
-def _variants(source: DataFrame, tumor_id: Callable[[Column], Column], vaf: Column, build: str,
-              scope: str) -> DataFrame:
+def _variants(source: DataFrame, tumor_id: Callable[[Column], Column], tumors: DataFrame, vaf: Column,
+              build: str, scope: str) -> DataFrame:
+    """C4, then the cleaning, which is spent on rows of known tumors only."""
     def col(name: str) -> Column:
         return col_or_null(source, name)
 
-    return source.select(
-        tumor_id(col("barcode")).alias("tumor_id"),
+    named = source.withColumn("tumor_id", tumor_id(col("barcode")))
+    return members(named, tumors.select("tumor_id"), "tumor_id").select(
+        "tumor_id",
         c.clean_text(col("gene")).alias("gene_symbol"),
         c.clean_text(col("chr")).alias("chromosome"),
         c.clean_long(col("start")).alias("start_position"),
@@ -56,20 +58,17 @@ def _variants(source: DataFrame, tumor_id: Callable[[Column], Column], vaf: Colu
 def exome_variants(source: DataFrame, tumors: DataFrame, panel: DataFrame) -> DataFrame:
     """Variants of known tumors, flagged against the panel."""
     named = rename_headers(source, vocab.VARIANT_HEADERS)
-    rows = _variants(named, c.primary_tumor_id, c.allele_frequency(named.columns),
+    rows = _variants(named, c.primary_tumor_id, tumors, c.allele_frequency(named.columns),
                      vocab.BUILD_TARGET, "WES")
-    flagged = flag_members(members(rows, tumors.select("tumor_id"), "tumor_id"), panel,
-                           "gene_symbol", "in_metabric_panel")
+    flagged = flag_members(rows, panel, "gene_symbol", "in_metabric_panel")
     return content_ids(flagged, "mutation_id", "TCGA-MUT-", CONTENT)
 
 
 def panel_variants(source: DataFrame, tumors: DataFrame) -> DataFrame:
     """Variants of known tumors; all are on the panel."""
     named = rename_headers(source, vocab.VARIANT_HEADERS)
-    rows = _variants(named, c.clean_text, F.lit(None).cast("double"), vocab.BUILD_SOURCE, "PANEL")
-    known = members(rows, tumors.select("tumor_id"), "tumor_id").withColumn(
-        "in_metabric_panel", F.lit(1))
-    return content_ids(known, "mutation_id", "MB-MUT-", CONTENT)
+    rows = _variants(named, c.clean_text, tumors, F.lit(None).cast("double"), vocab.BUILD_SOURCE, "PANEL")
+    return content_ids(rows.withColumn("in_metabric_panel", F.lit(1)), "mutation_id", "MB-MUT-", CONTENT)
 
 
 # ---- matrices ----
