@@ -8,22 +8,84 @@ only; the pieces recur, and the tokenizer encodes each new one once per worker a
 
 from __future__ import annotations
 
+import os
 import re
+import struct
+from collections.abc import Sequence
 from functools import lru_cache
 
-import numpy as np
-from tokenizers import Tokenizer
+# Spark runs a task per core; threads of the tokenizer only get in their way.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+from tokenizers import Tokenizer  # noqa: E402
 
 # Python's white space holds that of the tokenizer, so a cut is never made too often.
 BLANK_RUN = re.compile(r" (?=\s|\Z)")
 CUT = re.compile(r" (?=\S)")
 
+# The tokenizer's pattern on the characters below U+0250 but control characters, where
+# letters, numbers and white space can be told by ranges.
+LETTER, NUMBER, BLANK = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\\t\\n\\r \xa0"
+NEAR = re.compile("[\\t\\n\\r -~\xa0-ɏ]*")
+MATCHES = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+WORD = re.compile(f"[{LETTER}]+")
+
 #: Pieces kept at most; then the cache starts anew.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
 #: Longer pieces are encoded but not kept.
 CACHE_CHARS = 48
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level tokenizers write each byte: itself if it can be
+    seen in Latin-1, and otherwise one beyond, in the order of the bytes."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Pieces(dict):
+    """Ids by piece, the space before it left out. The library encodes what is new."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters = byte_letters()
+        self.blank = self.letters[32]
+        self.matches: dict[str, list[int]] = {}
+
+    def _match(self, text: str) -> list[int]:
+        if text.isascii() and text.isprintable():
+            text = text.replace(" ", self.blank)
+        else:
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(text)]
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(piece) > CACHE_CHARS:
+            return packed(self.tokenizer.encode(" " + piece, add_special_tokens=False).ids)
+        if WORD.fullmatch(piece):
+            ids = self._match(" " + piece)
+        elif NEAR.fullmatch(piece):
+            ids = []
+            for match in MATCHES.findall(" " + piece):
+                known = self.matches.get(match)
+                if known is None:
+                    known = self._match(match)
+                    if len(match) < 4:
+                        self.matches[match] = known
+                ids += known
+        else:
+            ids = self.tokenizer.encode(" " + piece, add_special_tokens=False).ids
+        out = self[piece] = packed(ids)
+        return out
+
+
+def packed(ids: Sequence[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceEncoder:
     """Ids as little-endian unsigned 32-bit integers, equal to those of the tokenizer."""
 
@@ -34,32 +96,17 @@ class PieceEncoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: int(i).to_bytes(4, "little") for i, t in added.items()}
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _spaced(self, words: list[str]) -> bytes:
-        """Ids of the words, a space before each."""
-        cache = self.cache
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        missing = [w for w in set(words) if w not in cache]
-        found = dict(zip(missing, self._ids([" " + w for w in missing])))
-        out = b"".join([found[w] if w in found else cache[w] for w in words])
-        cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
-        return out
+        self.cache = _Pieces(self.tokenizer)
 
     def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         head, *words = CUT.split(text) if BLANK_RUN.search(text) else text.split(" ")
-        return (self._ids([head])[0] if head else b"") + self._spaced(words)
+        first = packed(self.tokenizer.encode(head, add_special_tokens=False).ids) if head else b""
+        if len(self.cache) > CACHE_PIECES:
+            self.cache.clear()
+            self.cache.matches.clear()
+        return first + b"".join(map(self.cache.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
         if self.specials is None or not self.specials.search(text):

@@ -140,3 +140,15 @@ def test_ties_in_the_order_are_all_written(spark, odd_docs, tmp_path):
 def test_files_query(spark, docs):
     got = sorted(tuple(r) for r in queries.QUERIES["op10_id_files"](spark, FOLDER).collect())
     assert got == [(i, s, n, binascii.crc32(ids)) for i, s, n, ids in expected_starts(docs, 0)]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.text(st.characters(max_codepoint=0x24F), min_size=1, max_size=8), max_size=6).map(" ".join))
+def test_texts_of_near_characters(text):
+    assert ENCODER.encode(text) == ids_of(text, 0)[:-4]
+
+
+def test_every_near_character_alone_and_among_others():
+    for code in range(0x250):
+        for text in (f"a {chr(code)}", f"a x{chr(code)}y", f"a 1{chr(code)}2", f"a !{chr(code)}?"):
+            assert ENCODER.encode(text) == ids_of(text, 0)[:-4], (code, text)
