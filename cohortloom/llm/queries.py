@@ -10,13 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
-from . import id_files, packing, secrets, sharding
-from .base import table
+from . import bpe, fingerprints, id_files, language, packing, secrets, sharding
+from .base import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -31,6 +32,22 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+@query
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode_and_decode(table(spark, folder, "documents"), WORD_BPE)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    filters = language.learn(docs, language.training_label(F.col("doc_id"), F.col("lang")))
+    return language.identify(docs, filters).select(
+        "doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, folder, "documents"))
@@ -46,6 +63,11 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+@query
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_beside_edits(table(spark, folder, "documents"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.interleave(table(spark, folder, "documents"), 40)
