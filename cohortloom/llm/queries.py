@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
-from . import bpe, fingerprints, id_files, language, packing, secrets, sharding
+from . import bpe, fingerprints, id_files, language, near_texts, near_vectors, packing, secrets, sharding
 from .base import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"), 0.98)
+
+
 @query
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -76,6 +81,11 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+@query
+def op9_near_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return near_texts.near_duplicates(table(spark, folder, "documents"), near_texts.Similarity(width=4, percent=80))
+
+
 @query
 def op10_id_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/ids-{uuid.uuid4().hex}"
