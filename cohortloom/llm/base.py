@@ -10,10 +10,15 @@ from ..session import tune
 BATCH_BYTES = str(16 << 20)
 
 
+def prepared(df: DataFrame) -> DataFrame:
+    """The same rows, in a session set up for the operators."""
+    tune(df.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table, in a session set up for the operators."""
-    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """One Parquet table."""
+    return prepared(spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet"))
 
 
 def identified_texts(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
-from . import bpe, fingerprints, id_files, language, near_texts, near_vectors, packing, secrets, sharding
+from . import bpe, fingerprints, id_files, language, markov, near_texts, near_vectors, packing, secrets, sharding
 from .base import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_beside_edits(table(spark, folder, "documents"))
 
 
+@query
+def op7_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return markov.score_texts(table(spark, folder, "documents"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.interleave(table(spark, folder, "documents"), 40)
