@@ -7,8 +7,9 @@ similarity is unlikely to reach the threshold given the agreements so far. What
 is verified on the full sets.
 
 A bucket's members are first compared with one leader, so a group of near copies costs as
-many pairs as it has members. Only members that are then still in different components
-are compared with further leaders, and at last with each other.
+many pairs as it has members. Where a bucket then still holds several components, their
+members' signatures are compared in tiles: first the likeliest pair of two components is
+verified, at last every pair that verification leaves and that is still apart.
 """
 
 from __future__ import annotations
@@ -25,11 +26,17 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import staged
 from .base import identified_texts
 from .components import connected_components
+from .tiles import in_tiles
 
 BANDS, ROWS = 30, 5
 BATCH = 30
 #: Probability with which a pair at the threshold may be given up, at each batch.
-MISS = 1e-7
+MISS = 1e-5
+#: Members of a bucket that are compared in one task on either side, and pairs at a time.
+TILE, PAIRS = 1024, 50_000
+#: Bits of the filter by which documents that are no candidates are left out early. It is
+#: of fixed size; beyond some ten million candidates it lets more pass, all to be joined.
+FILTER_BITS = 25
 #: Texts are hashed together up to so many bytes.
 CHUNK_BYTES = 1 << 20
 
@@ -159,20 +166,28 @@ def least_agreements(percent: int, miss: float = MISS) -> list[tuple[int, int]]:
     return out
 
 
+def _agreeing(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray, plan) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (left[x], right[y]) are left by sequential verification, and
+    the agreements of those."""
+    alive, agree, before = np.arange(len(x)), np.zeros(len(x), np.int64), 0
+    for n, least in plan:
+        agree[alive] += (left[x[alive], before:n] == right[y[alive], before:n]).sum(1)
+        alive, before = alive[agree[alive] >= least], n
+    return alive, agree[alive]
+
+
+def _signatures_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), BANDS * ROWS)
+
+
 def _promising(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFrame:
     """Pairs (a, b) of classes that sequential verification leaves."""
     plan = least_agreements(like.percent)
 
     def prune(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
-            alive, agree, before = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
-            for n, least in plan:
-                agree[alive] += (left[alive, before:n] == right[alive, before:n]).sum(1)
-                alive, before = alive[agree[alive] >= least], n
+            every = np.arange(batch.num_rows)
+            alive, _ = _agreeing(_signatures_of(batch.column(2)), _signatures_of(batch.column(3)), every, every, plan)
             chosen = pa.array(alive)
             yield pa.RecordBatch.from_arrays([batch.column(k).take(chosen) for k in (0, 1)], ["a", "b"])
 
@@ -185,14 +200,78 @@ def _promising(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     return sized.select("a", "b", "s_a", "s_b").mapInArrow(prune, "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
+def _apart(members: DataFrame, components: DataFrame, classes: DataFrame, like: Similarity, likeliest: bool) -> DataFrame:
+    """Pairs (a, b) of a bucket's members in different components that sequential
+    verification leaves; with ``likeliest``, one for any two components in a tile. A pair
+    is taken in the first band that it shares."""
+    plan = least_agreements(like.percent)
+    bucket = ["band", "key"]
+    placed = members.select(*bucket, "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    rows = placed.join(mixed.select(*bucket), bucket, "left_semi").join(
+        classes.select("rep", "n_shingles", "signature"), "rep")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def meet(tile: pa.Table) -> pa.Table:
+        get = {c: tile.column(c) for c in tile.column_names}
+        rep, component, size = (np.array(get[c], np.int64) for c in ("rep", "component", "n_shingles"))
+        left, right = (np.flatnonzero(np.array(get[c], bool)) for c in ("left", "right"))
+        signs, band = _signatures_of(get["signature"]), get["band"][0].as_py()
+        found = [np.zeros((3, 0), np.int64)]
+        for start in range(0, len(left), 64):
+            part = left[start:start + 64, None]
+            fit = (rep[part] < rep[right]) & (component[part] != component[right]) & (
+                100 * np.minimum(size[part], size[right]) >= like.percent * np.maximum(size[part], size[right]))
+            x, y = np.nonzero(fit)
+            for at in range(0, len(x), PAIRS):
+                a, b = part[x[at:at + PAIRS], 0], right[y[at:at + PAIRS]]
+                alive, agree = _agreeing(signs, signs, a, b, plan)
+                a, b = a[alive], b[alive]
+                same = (signs[a] == signs[b]).reshape(len(a), BANDS, ROWS).all(2)
+                first = same.argmax(1) == band
+                found.append(np.stack([a[first], b[first], agree[first]]))
+        a, b, agree = np.concatenate(found, 1)
+        if likeliest and len(a):
+            low, high = np.minimum(component[a], component[b]), np.maximum(component[a], component[b])
+            order = np.lexsort((-agree, high, low))
+            low, high = low[order], high[order]
+            best = order[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))]
+            a, b = a[best], b[best]
+        return pa.table([pa.array(rep[a]), pa.array(rep[b])], schema=schema)
+
+    tiled = in_tiles(rows, bucket, "rep", TILE)
+    return tiled.groupBy(*bucket, "i", "j").applyInArrow(meet, "a bigint, b bigint")
+
+
+def _candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, text) of the classes that share a bucket with another. A filter of fixed
+    size spares most other texts the shuffle; the join is exact."""
+    reps = members.select(F.col("rep").alias("doc_id")).distinct()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    words = reps.select(place.alias("p")).select(
+        F.shiftright("p", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit")
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def pass_on(batches):
+        for batch in batches:
+            p = np.array(batch.column(2), np.int64)
+            hit = (shared.value[p >> 6] >> (p & 63)) & 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).filter(pa.array(hit.astype(bool))) for k in (0, 1)], ["doc_id", "text"])
+
+    passed = docs.where("doc_id is not null").select("doc_id", "text", place).mapInArrow(
+        pass_on, "doc_id bigint, text string")
+    return staged(passed.join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough; written, as it is read again."""
-    found = staged(_promising(pairs, classes, like))
-    needed = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = staged(texts)
     both = (
-        found.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b")), "b")
+        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b")), "b")
         .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a")), "a")
         .select("a", "b", "t_a", "t_b")
     )
@@ -239,33 +318,22 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
         .agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("least"))
         .select("digest", F.col("least.doc_id").alias("rep"), "least.n_shingles", "least.signature"))
     width = 4 * ROWS
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("signature", width * k + 1, width)) for k in range(BANDS)])
-    members = classes.select("rep", F.explode(keys).alias("key"))
-    heads = members.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = staged(members.join(heads, "key").select("key", "rep", "leader"))
-
-    first = members.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _linked(first, classes, texts, like)
-    tested = staged(first)
-    for leader in (True, False):
-        components = staged(connected_components(links))
-        open_ = staged(_open(members, components))
-        if leader:
-            # Every bucket with several components takes another leader, its own one.
-            chosen = open_.groupBy("key").agg(
-                F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key")).alias("head"))
-            more = open_.join(chosen, "key").where("component != head.component").select(
-                F.col("head.rep").alias("x"), F.col("rep").alias("y"))
-        else:
-            other = open_.select("key", F.col("rep").alias("y"), F.col("component").alias("of"))
-            more = open_.join(other, "key").where("rep < y and component != of").select(F.col("rep").alias("x"), "y")
-        pairs = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
+    keys = F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("signature", width * k + 1, width)).alias("key"))
+                     for k in range(BANDS)])
+    members = classes.select("rep", F.explode(keys).alias("_b")).select("_b.*", "rep")
+    heads = members.groupBy("band", "key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    members = staged(members.join(heads, ["band", "key"]).select("band", "key", "rep", "leader"))
+    candidates = _candidate_texts(texts, members)
+
+    tested = staged(members.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+    links = _linked(staged(_promising(tested, classes, like)), candidates, like)
+    components = staged(connected_components(links))
+    for likeliest in (True, False):
+        pairs = staged(_apart(members, components, classes, like, likeliest).join(tested, ["a", "b"], "left_anti"))
+        if pairs.isEmpty() and not likeliest:
             break
-        links = staged(links.union(_linked(pairs, classes, texts, like)))
+        links = staged(links.union(_linked(pairs, candidates, like)))
         tested = tested.union(pairs)
-    else:
         components = staged(connected_components(links))
     rows = signed.select("doc_id", "n_shingles", "digest")
     found = rows.join(classes.select("digest", "rep"), "digest", "left").join(
@@ -275,14 +343,6 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _open(members: DataFrame, components: DataFrame) -> DataFrame:
-    """(key, rep, component) in buckets with more than one component."""
-    placed = members.select("key", "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return placed.join(mixed.select("key"), "key", "left_semi")
-
-
 def keep_one_of_each(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """The rows with the smallest doc_id of each group of near-duplicates, all columns as
     they are. Of rows with the same doc_id one stays; rows with a null id all stay."""

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import staged
 from .components import connected_components
+from .tiles import in_tiles
 
 BLOCKS = 8
 #: A cell's side in ranges. Wider cells are visited less often and hold more.
@@ -163,17 +164,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     visits = distinct.select(F.xxhash64("label").alias("mark"), "rep", "weight", "embedding").mapInArrow(
         visit, "mark bigint, dim int, block int, x bigint, y bigint, home boolean, rep bigint, weight bigint, vector binary")
-    crowded = visits.groupBy(*cell).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
-    tiled = visits.join(crowded, cell, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn(
-        "own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    own, home = F.col("own"), F.col("home")
-    numbers = F.sequence(F.lit(0), F.col("tiles") - 1)
-    as_left = F.transform(F.filter(numbers, lambda j: home), lambda j: F.struct(
-        own.alias("i"), j.alias("j"), F.lit(True).alias("left"), (j == own).alias("right")))
-    as_right = F.transform(F.filter(numbers, lambda i: ~home | (i != own)), lambda i: F.struct(
-        i.alias("i"), own.alias("j"), F.lit(False).alias("left"), F.lit(True).alias("right")))
-    dealt = tiled.withColumn("tile", F.explode(F.concat(as_left, as_right))).select(
-        *cell, "tile.*", "rep", "weight", "vector")
+    dealt = in_tiles(visits, cell, "rep", TILE, F.col("home"))
     links = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("other", pa.int64())])
 
     def meet(tile: pa.Table) -> pa.Table:
