@@ -11,6 +11,7 @@ every task can hold them; the rest, a list that grows with the corpus, are joine
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -18,7 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import staged
 from .base import id_remainder
@@ -36,6 +37,7 @@ HELD_WORDS, HELD_CELLS = 200_000, 400_000
 
 END = b""  # no word is empty
 CLASSES = 12
+DIGIT = re.compile(rb"[0-9]")
 
 
 def tokens(text: str) -> list[bytes]:
@@ -46,7 +48,14 @@ def tokens(text: str) -> list[bytes]:
 def class_of(word: bytes) -> int:
     """By the look of a word: length, digits, letters beyond ASCII."""
     length = 0 if len(word) <= 5 else 1 if len(word) <= 9 else 2
-    return length + 3 * (any(48 <= b <= 57 for b in word)) + 6 * (not word.isascii())
+    return length + 3 * (DIGIT.search(word) is not None) + 6 * (not word.isascii())
+
+
+def class_column(word: Column) -> Column:
+    """The same for a column."""
+    size, text = F.octet_length(word), word.cast("string")
+    length = F.when(size <= 5, 0).when(size <= 9, 1).otherwise(2)
+    return length + 3 * text.rlike("[0-9]").cast("int") + 6 * text.rlike(r"[^\x00-\x7F]").cast("int")
 
 
 def _halves(docs: DataFrame) -> DataFrame:
@@ -56,14 +65,13 @@ def _halves(docs: DataFrame) -> DataFrame:
 
 
 def count_words(halves: DataFrame) -> DataFrame:
-    """(word, class, c, total): occurrences in training documents and in all."""
-    schema = pa.schema([("word", pa.binary()), ("class", pa.int32()), ("c", pa.int64()), ("total", pa.int64())])
+    """(word, c, total): occurrences in training documents and in all."""
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("total", pa.int64())])
 
-    def rows(train: Counter, total: Counter):
-        words = list(total)
-        return pa.RecordBatch.from_arrays([
-            pa.array(words, pa.binary()), pa.array([class_of(w) for w in words], pa.int32()),
-            pa.array([train.get(w, 0) for w in words], pa.int64()), pa.array(list(total.values()), pa.int64())], schema=schema)
+    def rows(words: Counter, seen: bool) -> pa.RecordBatch:
+        n = pa.array(list(words.values()), pa.int64())
+        c = n if seen else pa.array(np.zeros(len(words), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), c, n], schema=schema)
 
     def count(batches):
         train, held = Counter(), Counter()
@@ -72,13 +80,14 @@ def count_words(halves: DataFrame) -> DataFrame:
                 own = held if out else train
                 own.update(tokens(text))
                 own[END] += 1
-                if len(train) + len(held) > HELD_WORDS:
-                    yield rows(train, train + held)
-                    train, held = Counter(), Counter()
-        yield rows(train, train + held)
+                if len(own) > HELD_WORDS:
+                    yield rows(own, not out)
+                    own.clear()
+        yield rows(train, True)
+        yield rows(held, False)
 
-    return halves.select("held_out", "text").mapInArrow(count, "word binary, class int, c bigint, total bigint").groupBy(
-        "word", "class").agg(F.sum("c").alias("c"), F.sum("total").alias("total"))
+    return halves.select("held_out", "text").mapInArrow(count, "word binary, c bigint, total bigint").groupBy("word").agg(
+        F.sum("c").alias("c"), F.sum("total").alias("total"))
 
 
 class Vocabulary(NamedTuple):
@@ -99,6 +108,7 @@ class Totals(NamedTuple):
 
 
 def learn_vocabulary(counts: DataFrame) -> tuple[Vocabulary, Totals]:
+    counts = counts.withColumn("class", class_column(F.col("word")))
     whole = counts.agg(
         F.sum("c").alias("n"), F.sum("total").alias("all"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, every, v = whole.n or 0, whole["all"] or 0, whole.v
@@ -134,33 +144,42 @@ def encode(halves: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """One row per document: symbols (little-endian unsigned 16-bit), sums over the words
     that every task knows, and the others with their class and number."""
     shared = halves.sparkSession.sparkContext.broadcast(vocabulary)
-    rare = pa.list_(pa.struct([("word", pa.binary()), ("class", pa.int32()), ("n", pa.int64())]))
 
     def run(batches):
         known = shared.value
-        get, end = known.places.get, known.places[END]
+        get, end = known.places.get, known.places.get(END)
         for batch in batches:
             rows: list[tuple] = []
+            rare_words: list[bytes] = []
+            rare_classes: list[int] = []
+            rare_numbers: list[int] = []
+            ends = [0]
             for text in batch.column(2).to_pylist():
                 words = tokens(text)
                 places = np.append(np.fromiter(map(get, words, repeat(-1)), np.int64, len(words)), end)
                 found = places >= 0
                 symbols = known.symbol[places]
-                others: list[dict] = []
-                if not found.all():
-                    lost = np.flatnonzero(~found)
-                    unknown = [words[i] for i in lost.tolist()]
-                    classes = {w: class_of(w) for w in set(unknown)}
-                    symbols[lost] = [1 + classes[w] for w in unknown]
-                    others = [{"word": w, "class": classes[w], "n": k} for w, k in Counter(unknown).items()]
+                lost = np.flatnonzero(~found).tolist()
+                if lost:
+                    unknown = Counter([words[i] for i in lost])
+                    classes = {w: class_of(w) for w in unknown}
+                    symbols[lost] = [1 + classes[words[i]] for i in lost]
+                    rare_words += classes
+                    rare_classes += classes.values()
+                    rare_numbers += unknown.values()
+                ends.append(len(rare_words))
                 inside = places[found]
                 rows.append((
                     len(words) + 1, int(known.seen[inside].sum()), float(known.base[inside].sum()),
-                    float(known.inner[inside].sum()), symbols.astype("<u2").tobytes(), others))
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), rare]
+                    float(known.inner[inside].sum()), symbols.astype("<u2").tobytes()))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+            others = pa.StructArray.from_arrays(
+                [pa.array(rare_words, pa.binary()), pa.array(rare_classes, pa.int32()), pa.array(rare_numbers, pa.int64())],
+                ["word", "class", "n"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base", "inner", "symbols", "rare"])
 
     return halves.mapInArrow(
