@@ -7,9 +7,9 @@ similarity is unlikely to reach the threshold given the agreements so far. What
 is verified on the full sets.
 
 A bucket's members are first compared with one leader, so a group of near copies costs as
-many pairs as it has members. Where a bucket then still holds several components, their
-members' signatures are compared in tiles: first the likeliest pair of two components is
-verified, at last every pair that verification leaves and that is still apart.
+many pairs as it has members. Where a bucket then still holds several components, its
+members are compared in tiles, the likeliest pairs first, as long as they are apart; a
+tile returns the links that join components, never the pairs.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ BATCH = 30
 #: Probability with which a pair at the threshold may be given up, at each batch.
 MISS = 1e-5
 #: Members of a bucket that are compared in one task on either side, and pairs at a time.
-TILE, PAIRS = 1024, 50_000
+TILE, PAIRS = 512, 50_000
 #: Bits of the filter by which documents that are no candidates are left out early. It is
 #: of fixed size; beyond some ten million candidates it lets more pass, all to be joined.
 FILTER_BITS = 25
@@ -200,17 +200,16 @@ def _promising(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     return sized.select("a", "b", "s_a", "s_b").mapInArrow(prune, "a bigint, b bigint")
 
 
-def _apart(members: DataFrame, components: DataFrame, classes: DataFrame, like: Similarity, likeliest: bool) -> DataFrame:
-    """Pairs (a, b) of a bucket's members in different components that sequential
-    verification leaves; with ``likeliest``, one for any two components in a tile. A pair
-    is taken in the first band that it shares."""
+def _joining(members: DataFrame, components: DataFrame, classes: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+    """Links (a, b) that join the components within each bucket, verified on full sets.
+    A pair is looked at in the first band that it shares, and only while it is apart."""
     plan = least_agreements(like.percent)
     bucket = ["band", "key"]
     placed = members.select(*bucket, "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     mixed = placed.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     rows = placed.join(mixed.select(*bucket), bucket, "left_semi").join(
-        classes.select("rep", "n_shingles", "signature"), "rep")
+        classes.select("rep", "n_shingles", "signature"), "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(tile: pa.Table) -> pa.Table:
@@ -228,20 +227,35 @@ def _apart(members: DataFrame, components: DataFrame, classes: DataFrame, like:
                 a, b = part[x[at:at + PAIRS], 0], right[y[at:at + PAIRS]]
                 alive, agree = _agreeing(signs, signs, a, b, plan)
                 a, b = a[alive], b[alive]
-                same = (signs[a] == signs[b]).reshape(len(a), BANDS, ROWS).all(2)
-                first = same.argmax(1) == band
+                first = (signs[a] == signs[b]).reshape(len(a), BANDS, ROWS).all(2).argmax(1) == band
                 found.append(np.stack([a[first], b[first], agree[first]]))
         a, b, agree = np.concatenate(found, 1)
-        if likeliest and len(a):
-            low, high = np.minimum(component[a], component[b]), np.maximum(component[a], component[b])
-            order = np.lexsort((-agree, high, low))
-            low, high = low[order], high[order]
-            best = order[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))]
-            a, b = a[best], b[best]
-        return pa.table([pa.array(rep[a]), pa.array(rep[b])], schema=schema)
+        used = np.unique(np.concatenate([a, b]))
+        sets = dict(zip(used.tolist(), shingle_sets(get["text"].take(pa.array(used)).to_pylist(), like.width)))
+        tree = {c: c for c in component.tolist()}
+
+        def root(c: int) -> int:
+            while tree[c] != c:
+                tree[c] = c = tree[tree[c]]
+            return c
+
+        links = []
+        for k in np.argsort(-agree, kind="stable").tolist():
+            i, j = int(a[k]), int(b[k])
+            x, y = root(int(component[i])), root(int(component[j]))
+            if x != y and _alike(sets[i], sets[j], like):
+                tree[max(x, y)] = min(x, y)
+                links.append((int(rep[i]), int(rep[j])))
+        columns = list(zip(*links)) or [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     tiled = in_tiles(rows, bucket, "rep", TILE)
-    return tiled.groupBy(*bucket, "i", "j").applyInArrow(meet, "a bigint, b bigint")
+    return staged(tiled.groupBy(*bucket, "i", "j").applyInArrow(meet, "a bigint, b bigint"))
+
+
+def _alike(a: np.ndarray, b: np.ndarray, like: Similarity) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= like.percent * (len(a) + len(b) - common)
 
 
 def _candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -284,8 +298,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
             for a, text, other in zip(ids, batch.column(2), right):
                 if known[0] != a:
                     known = a, shingle_sets([text.as_py()], like.width)[0]
-                common = len(np.intersect1d(known[1], other, assume_unique=True))
-                keep.append(100 * common >= like.percent * (len(known[1]) + len(other) - common))
+                keep.append(_alike(known[1], other, like))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], ["a", "b"])
 
@@ -325,16 +338,11 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     members = staged(members.join(heads, ["band", "key"]).select("band", "key", "rep", "leader"))
     candidates = _candidate_texts(texts, members)
 
-    tested = staged(members.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
-    links = _linked(staged(_promising(tested, classes, like)), candidates, like)
+    stars = members.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    links = _linked(staged(_promising(stars, classes, like)), candidates, like)
     components = staged(connected_components(links))
-    for likeliest in (True, False):
-        pairs = staged(_apart(members, components, classes, like, likeliest).join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty() and not likeliest:
-            break
-        links = staged(links.union(_linked(pairs, candidates, like)))
-        tested = tested.union(pairs)
-        components = staged(connected_components(links))
+    more = _joining(members, components, classes, candidates, like)
+    components = staged(connected_components(links.union(more)))
     rows = signed.select("doc_id", "n_shingles", "digest")
     found = rows.join(classes.select("digest", "rep"), "digest", "left").join(
         components.select(F.col("id").alias("rep"), "component"), "rep", "left")
