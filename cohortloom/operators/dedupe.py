@@ -55,7 +55,8 @@ def sequential_ids(df: DataFrame, name: str, prefix: str, order: list[str], widt
 
 
 def content_ids(df: DataFrame, name: str, prefix: str, key: list[str], chunk: int = 10_000) -> DataFrame:
-    """E5: ``prefix`` + 12 hex digits of the hashed row content and copy number.
+    """E5: ``prefix`` + 32 hex digits of the hashed row content and copy number. Each value
+    is hashed with its length, so no two rows give the same text; null is not empty.
 
     Equal rows are counted, which collapses copies before the shuffle, and written
     out again with numbers 1..n, the rare large counts in chunks over many tasks.
@@ -72,6 +73,7 @@ def content_ids(df: DataFrame, name: str, prefix: str, key: list[str], chunk: in
         .select("*", F.explode(F.sequence(part * chunk + 1, F.least(n, (part + 1) * chunk))).alias("_copy"))
         .drop("_part")
     )
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*key, "_copy"]]
-    digits = F.substring(F.sha2(F.concat_ws(chr(31), *parts), 256), 1, 12)
+    texts = [F.col(c).cast("string") for c in [*key, "_copy"]]
+    parts = [F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("null")) for x in texts]
+    digits = F.substring(F.sha2(F.concat_ws(chr(31), *parts), 256), 1, 32)
     return few.unionByName(many).withColumn(name, F.concat(F.lit(prefix), digits)).drop("_n", "_copy")

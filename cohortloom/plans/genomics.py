@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -139,20 +140,21 @@ def batch_cells(matrices: list[tuple[Matrix, Callable[[str], Column]]], tumor_st
     if any(m.isEmpty() for m in maps):
         return None
     valid = [m.lines.where(c.valid_symbol("label")) for m, _ in matrices]
-    shared = checked_broadcast(shared_keys(valid[0], valid[1], "label"))
+    shared = checked_broadcast(reduce(lambda a, b: shared_keys(a, b, "label"), valid).select("label").distinct())
     if shared.isEmpty():
         return None
     parts = []
     for rank, ((matrix, _), columns) in enumerate(zip(matrices, maps)):
         lines = with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double, "double")
         parts.append(explode_samples(lines, last_known(), ["label"]).withColumn("_rank", F.lit(rank)))
-    cells = parts[0].unionByName(parts[1])
-    if not maps[0].join(maps[1], "sample_id", "left_semi").isEmpty():
+    cells = reduce(DataFrame.unionByName, parts)
+    samples = reduce(DataFrame.unionByName, [m.select("sample_id").distinct() for m in maps])
+    if not samples.groupBy("sample_id").count().where("count > 1").isEmpty():
         cells = cells.groupBy("label", "sample_id").agg(
             F.max_by("value", F.when(F.col("value").isNotNull(), F.col("_rank"))).alias("value"))
     value = F.log2(F.col("value") + 1) if log2p1 else F.col("value")
     batch = checked_broadcast(tumor_study.join(
-        maps[0].unionByName(maps[1]).select(F.col("sample_id").alias("tumor_id")), "tumor_id", "left_semi"))
+        samples.select(F.col("sample_id").alias("tumor_id")), "tumor_id", "left_semi"))
     return cells.join(batch.withColumnRenamed("tumor_id", "sample_id"), "sample_id").select(
         F.col("label").alias("feature"), F.col("sample_id").alias("sample"),
         F.col("study_source").alias("batch"), value.alias("value"))

@@ -228,8 +228,10 @@ def numbered(t):
 
 
 @query("q_e5", """
-    SELECT l_orderkey, l_linenumber, 'MUT-' || substr(sha256(l_orderkey || chr(31) || l_linenumber || chr(31) ||
-           row_number() OVER (PARTITION BY l_orderkey, l_linenumber)), 1, 12) AS mutation_id FROM lineitem""")
+    SELECT l_orderkey, l_linenumber, 'MUT-' || substr(sha256(
+           length(l_orderkey::VARCHAR) || ':' || l_orderkey || chr(31) || length(l_linenumber::VARCHAR) || ':' || l_linenumber || chr(31) ||
+           length(n::VARCHAR) || ':' || n), 1, 32) AS mutation_id
+    FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)""")
 def hashed(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber")
     return dedupe.content_ids(lines, "mutation_id", "MUT-", ["l_orderkey", "l_linenumber"])

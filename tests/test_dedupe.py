@@ -50,9 +50,16 @@ def test_content_ids_number_copies(spark, chunk):
     got = dedupe.content_ids(df, "id", "P-", ["x"], chunk)
 
     def expected(x, n):
-        return "P-" + hashlib.sha256(f"{x}\x1f{n}".encode()).hexdigest()[:12]
+        x = "null" if x is None else f"{len(x)}:{x}"
+        return "P-" + hashlib.sha256(f"{x}\x1f{len(str(n))}:{n}".encode()).hexdigest()[:32]
     assert sorted(r[0] for r in got.select("id").collect()) == sorted(
-        [expected("a", n) for n in range(1, 41)] + [expected("b", 1), expected("", 1)])
+        [expected("a", n) for n in range(1, 41)] + [expected("b", 1), expected(None, 1)])
     assert rows(got.groupBy("x", "y").count()) == [("a", 1, 40), ("b", 2, 1), (None, 3, 1)]
     again = dedupe.content_ids(df.repartition(7, "x"), "id", "P-", ["x"])
     assert rows(again) == rows(got)
+
+
+def test_content_ids_tell_null_from_empty_and_borders_apart(spark):
+    rows = [("a", None), ("a", ""), (None, "a"), ("", "a"), ("a\x1f1:b", "c"), ("a", "b\x1f1:c"), ("null", None), (None, None)]
+    got = dedupe.content_ids(spark.createDataFrame(rows, "x string, y string"), "id", "P-", ["x", "y"])
+    assert len({r.id for r in got.collect()}) == len(rows)
