@@ -62,8 +62,10 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat_ws(",", line)
 
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE]
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE]
     return found.select(
         "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
