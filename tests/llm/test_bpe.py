@@ -3,7 +3,7 @@
 import hashlib
 
 import numpy as np
-from helpers import FOLDER, by_id, texts
+from .helpers import FOLDER, by_id, texts
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 

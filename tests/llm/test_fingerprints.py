@@ -4,7 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from helpers import FOLDER, texts
+from .helpers import FOLDER, texts
 from hypothesis import given, settings, strategies as st
 
 from cohortloom.llm import fingerprints as fp, queries

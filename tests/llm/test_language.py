@@ -1,7 +1,7 @@
 """Language identification: held-out accuracy, and the filters against sets of n-grams."""
 
 import numpy as np
-from helpers import FOLDER, by_id
+from .helpers import FOLDER, by_id
 from pyspark.sql import functions as F
 
 from cohortloom.llm import language, queries

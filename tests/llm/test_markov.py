@@ -8,7 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
-from helpers import FOLDER, texts
+from .helpers import FOLDER, texts
 
 from cohortloom.llm import markov, queries
 

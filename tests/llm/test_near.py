@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from helpers import FOLDER, texts
+from .helpers import FOLDER, texts
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from helpers import FOLDER
+from .helpers import FOLDER
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -5,7 +5,7 @@ import hashlib
 import re
 
 import pytest
-from helpers import FOLDER, by_id, texts
+from .helpers import FOLDER, by_id, texts
 from hypothesis import given, settings, strategies as st
 
 from cohortloom.llm import queries, secrets

@@ -4,7 +4,7 @@ import binascii
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import FOLDER
+from .helpers import FOLDER
 
 from cohortloom.llm import queries, sharding
 

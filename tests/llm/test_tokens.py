@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import FOLDER, texts
+from .helpers import FOLDER, texts
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
