@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .dedupe import keep_first
 
 
 @dataclass(frozen=True)
@@ -66,12 +65,26 @@ def conform(df: DataFrame, spec: TableSpec, extra: list[Column] | None = None) -
 
 @dataclass
 class Insert:
-    """``stored``: rows to append. ``rejected``: dropped rows with ``reasons``.
-    ``attempted``: every row of the batch."""
+    """``judged``: every row of the batch with ``reasons`` to drop it, empty for none.
+    ``stored``, ``rejected`` and ``attempted`` are read off it, so write it first where
+    more than one of them is wanted."""
 
-    stored: DataFrame
-    rejected: DataFrame
-    attempted: DataFrame
+    judged: DataFrame
+
+    @property
+    def stored(self) -> DataFrame:
+        """Rows to append."""
+        return self.judged.where(F.size("reasons") == 0).drop("reasons")
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Dropped rows with ``reasons``."""
+        return self.judged.where(F.size("reasons") > 0)
+
+    @property
+    def attempted(self) -> DataFrame:
+        """Every row of the batch."""
+        return self.judged.drop("reasons")
 
 
 def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
@@ -83,38 +96,23 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
     Rows without a key are never duplicates, as in SQL.
     """
     places = [F.col(c).alias(f"_place{i}") for i, c in enumerate(order)]
-    order = [f"_place{i}" for i in range(len(order))]
     rows = conform(batch, spec, places).withColumn("reasons", violations(spec))
-    broken = F.size("reasons") > 0
-    rejected = rows.where(broken)
-    first = rows.where(~broken)
     if order:
-        # Ranking valid rows first instead of filtering before keeps the filter from
-        # being pushed below, where it would evaluate every column twice.
-        key = [*spec.key, *_row_of_its_own(spec, order)]
-        first = keep_first(rows, key, [broken, *order]).where(~broken)
-        # The order columns are unique, so this join has no hot key even if the key has.
-        repeats = rows.where(~broken).join(first.select(*order), order, "left_anti").select(*rows.columns)
-        rejected = rejected.unionByName(_because(repeats, "duplicate_in_batch"))
-    stored = first
+        # The first place per key is aggregated before the shuffle, and the join back
+        # splits hot keys; a null key finds no partner.
+        place = F.struct(*[f"_place{i}" for i in range(len(order))])
+        first = rows.where(F.size("reasons") == 0).groupBy(*spec.key).agg(F.min(place).alias("_first"))
+        rows = rows.join(first, spec.key, "left").withColumn(
+            "reasons", _also(F.col("_first") != place, "duplicate_in_batch"))
     if existing is not None:
-        known = existing.select(*spec.key)
-        stored = first.join(known, spec.key, "left_anti").select(*rows.columns)
-        old = first.join(known, spec.key, "left_semi").select(*rows.columns)
-        rejected = rejected.unionByName(_because(old, "already_stored"))
-    return Insert(stored.drop(*order, "reasons"), rejected.drop(*order), rows.drop(*order, "reasons"))
-
-
-def _row_of_its_own(spec: TableSpec, order: list[str]) -> list[Column]:
-    """Extra key that sets rows without a key apart, if the table allows them."""
-    nullable = [F.col(k).isNull() for k in spec.key if k not in spec.not_null]
-    if not nullable:
-        return []
-    return [F.when(F.greatest(*nullable, F.lit(False)), F.struct(*order))]
+        known = existing.select(*spec.key).distinct().withColumn("_known", F.lit(True))
+        rows = rows.join(known, spec.key, "left").withColumn("reasons", _also(F.col("_known"), "already_stored"))
+    return Insert(rows.select(*spec.schema.fieldNames(), "reasons"))
 
 
-def _because(rows: DataFrame, reason: str) -> DataFrame:
-    return rows.withColumn("reasons", F.array(F.lit(reason)))
+def _also(condition: Column, reason: str) -> Column:
+    """``reasons`` of a row, or ``reason`` if it has none and meets the condition."""
+    return F.when((F.size("reasons") == 0) & condition, F.array(F.lit(reason))).otherwise(F.col("reasons"))
 
 
 def orphan_keys(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:

@@ -56,6 +56,18 @@ def _variants(source: DataFrame, tumor_id: Callable[[Column], Column], tumors: D
     ).where(F.col("gene_symbol").isNotNull())
 
 
+def skipped_variants(source: DataFrame, tumor_id: Callable[[Column], Column], tumors: DataFrame) -> dict[str, int]:
+    """Source rows without a known tumor, and those of a known tumor without a gene."""
+    named = rename_headers(source, vocab.VARIANT_HEADERS)
+    known = tumors.select("tumor_id", F.lit(True).alias("_known"))
+    rows = named.select(
+        tumor_id(col_or_null(named, "barcode")).alias("tumor_id"),
+        c.clean_text(col_or_null(named, "gene")).isNull().alias("_nameless")).join(known, "tumor_id", "left")
+    counts = rows.agg(F.count_if(F.col("_known").isNull()).alias("unknown tumor"),
+                      F.count_if(F.col("_known") & F.col("_nameless")).alias("no gene"))
+    return counts.head().asDict()
+
+
 def exome_variants(source: DataFrame, tumors: DataFrame, panel: DataFrame) -> DataFrame:
     """Variants of known tumors, flagged against the panel."""
     named = rename_headers(source, vocab.VARIANT_HEADERS)

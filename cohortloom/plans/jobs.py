@@ -85,17 +85,20 @@ def _insert_clinical(store: Store, rows: clinical.Clinical, treatments: DataFram
 
 
 def load_mutations(store: Store, src: Sources) -> int:
-    """Panel cohort first, then exomes flagged against its genes."""
+    """Panel cohort first, then exomes flagged against its genes. ``store.loads``
+    tells what was skipped or rejected, as after every load."""
     spark = store.spark
     panel_source = read_table(spark, src.panel_mutations) if exists(spark, src.panel_mutations) else None
     panel = genomics.panel_genes(panel_source, spark)
     tumors = store.read("tumors")
     # Both batches were joined with the tumors and have unique ids.
     if panel_source is not None:
-        store.insert("mutations", genomics.panel_variants(panel_source, tumors), [], "trust")
+        store.insert("mutations", genomics.panel_variants(panel_source, tumors), [], "trust",
+                     genomics.skipped_variants(panel_source, c.clean_text, tumors))
     if exists(spark, src.exome_mutations):
-        variants = genomics.exome_variants(read_table(spark, src.exome_mutations), tumors, panel)
-        store.insert("mutations", variants, [], "trust")
+        source = read_table(spark, src.exome_mutations)
+        store.insert("mutations", genomics.exome_variants(source, tumors, panel), [], "trust",
+                     genomics.skipped_variants(source, c.primary_tumor_id, tumors))
     store.log([
         ("mutations", vocab.STUDY_BOTH, "in_metabric_panel",
          f"Exome variants flagged against the {panel.count()} genes of the panel cohort's mutation data",

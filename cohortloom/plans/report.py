@@ -54,10 +54,16 @@ def condition_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFra
 
 def database_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """V5: (section, value, n_rows) - table sizes and the four breakdowns."""
-    sizes = table_counts(tables).select(
-        F.lit("Rows").alias("section"), F.col("table_name").alias("value"), "n_rows")
-    groups = [
-        group_counts(tables[table], column).select(F.lit(label).alias("section"), "value", "n_rows")
-        for label, table, column in BREAKDOWNS if table in tables
-    ]
-    return reduce(DataFrame.unionByName, [sizes, *groups])
+    parts = []
+    for name, df in tables.items():
+        # Grouped once by all its breakdowns; each combination then counts in every section.
+        wanted = [(label, column) for label, table, column in BREAKDOWNS if table == name]
+        combos = df.groupBy(*[null_label(F.col(c).cast("string")).alias(c) for _, c in wanted]).agg(
+            F.count("*").alias("n_rows"))
+        facts = [F.struct(F.lit("Rows").alias("section"), F.lit(name).alias("value"))]
+        facts += [F.struct(F.lit(label).alias("section"), F.col(c).alias("value")) for label, c in wanted]
+        parts.append(combos.select(F.explode(F.array(*facts)).alias("_fact"), "n_rows").select("_fact.*", "n_rows"))
+    # An empty table has no combination, yet its size is listed.
+    spark = next(iter(tables.values())).sparkSession
+    parts.append(spark.createDataFrame([("Rows", name, 0) for name in tables], "section string, value string, n_rows long"))
+    return reduce(DataFrame.unionByName, parts).groupBy("section", "value").agg(F.sum("n_rows").alias("n_rows"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.dedupe import sequential_numbers
 from ..operators.quality import (
-    Insert, TableSpec, check_foreign_keys, conform, insert_ignore, quarantine_orphans,
+    ForeignKey, Insert, TableSpec, check_foreign_keys, conform, insert_ignore, orphan_keys,
 )
-from ..session import checkpointed
+from ..session import staged
 from ..sources.delimited import empty_table, exists
 from .schema import HARMONIZATION_LOG, SEED_LOG, TABLES
 
@@ -18,12 +21,29 @@ PARTITIONS = {"mutations": ["reference_genome"]}
 LOG_FIELDS = ["table_name", "study_source", "field_name", "transformation", "source_field", "notes"]
 
 
+@dataclass
+class Load:
+    """What became of one batch: its rows by fate, how many there were by reason, and
+    the rejected ones. ``skipped`` counts source rows that gave no row of the batch."""
+
+    table: str
+    attempted: int
+    stored: int
+    reasons: dict[str, int]
+    rejected: DataFrame
+    skipped: dict[str, int]
+
+
 class Store:
-    """Tables under one folder of a file system all executors share."""
+    """Tables under one folder of a file system all executors share.
+
+    ``loads`` lists what the inserts of this object dropped, and why.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.loads: list[Load] = []
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -57,27 +77,39 @@ class Store:
         """S5"""
         return self.read(table).count()
 
-    def insert(self, table: str, batch: DataFrame, order: list[str], on_orphan: str = "raise") -> Insert:
+    def insert(self, table: str, batch: DataFrame, order: list[str], on_orphan: str = "raise",
+               skipped: dict[str, int] | None = None) -> Insert:
         """Append the rows that break no rule and repeat no key.
 
         A row whose parent is missing fails the load before anything is written,
         or with ``on_orphan="reject"`` joins the rejected rows; "trust" skips the
-        check for batches that were joined with their parents.
+        check for batches that were joined with their parents. The judged batch is
+        written once; stored and rejected rows and their counts are read from there.
         """
         spec = TABLES[table]
         stored_before = self.read(table) if exists(self.spark, self.path(table)) else None
-        result = insert_ignore(spec, batch, order, stored_before)
+        result = Insert(staged(insert_ignore(spec, batch, order, stored_before).judged))
+        parents = self._parents(spec)
         if on_orphan == "raise":
-            result.stored = checkpointed(result.stored)
-            check_foreign_keys(spec, result.stored, self._parents(spec))
-        elif on_orphan == "reject":
-            for fk in spec.foreign_keys:
-                result.stored, orphans = quarantine_orphans(result.stored, fk, self.read(fk.parent))
-                orphans = orphans.withColumn("reasons", F.array(F.lit(f"foreign_key:{fk.column}")))
-                result.rejected = result.rejected.unionByName(orphans)
+            check_foreign_keys(spec, result.stored, parents)
+        elif on_orphan == "reject" and parents:
+            result = Insert(staged(reduce(
+                lambda rows, fk: _orphans_marked(rows, fk, parents[fk.parent]), spec.foreign_keys, result.judged)))
         self._write(table, result.stored, "append")
+        self.loads.append(_counted(table, result, skipped or {}))
         return result
 
+    def load_report(self) -> DataFrame:
+        """(load, table_name, fate, n_rows): rows attempted, stored, rejected by reason
+        and skipped by cause, of every insert of this object."""
+        rows = []
+        for n, load in enumerate(self.loads, 1):
+            fates = {"attempted": load.attempted, "stored": load.stored}
+            fates |= {f"rejected: {k}": v for k, v in sorted(load.reasons.items())}
+            fates |= {f"skipped: {k}": v for k, v in load.skipped.items()}
+            rows += [(n, load.table, fate, count) for fate, count in fates.items()]
+        return self.spark.createDataFrame(rows, "load int, table_name string, fate string, n_rows long")
+
     def _parents(self, spec: TableSpec) -> dict[str, DataFrame]:
         return {fk.parent: self.read(fk.parent) for fk in spec.foreign_keys}
 
@@ -109,6 +141,23 @@ class Store:
         return self
 
 
+def _orphans_marked(judged: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
+    """K4: rows without a reason yet whose parent is missing get one."""
+    bad = orphan_keys(judged.where(F.size("reasons") == 0), fk, parent).select(
+        F.col(fk.parent_column).alias(fk.column), F.lit(True).alias("_orphan"))
+    reason: Column = F.array(F.lit(f"foreign_key:{fk.column}"))
+    return judged.join(bad, fk.column, "left").withColumn("reasons", F.when(
+        (F.size("reasons") == 0) & F.col("_orphan"), reason).otherwise(F.col("reasons"))).select(*judged.columns)
+
+
+def _counted(table: str, result: Insert, skipped: dict[str, int]) -> Load:
+    """Counts by reason; the reasons are the rules of the table, so they are few."""
+    fates = {r["reason"]: r["n"] for r in result.judged.select(
+        F.explode_outer("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    stored = fates.pop(None, 0)
+    return Load(table, result.judged.count(), stored, fates, result.rejected, skipped)
+
+
 def audit_rows(spark: SparkSession, rows: list[tuple], last_id: int = 0) -> DataFrame:
     """Numbered audit rows; they are written by hand, a few per job."""
     numbered = [(last_id + i, *r) for i, r in enumerate(rows, 1)]

@@ -250,6 +250,88 @@ def curated_tumors(t):
     return insert_ignore(TUMORS, rows.tumors, rows.order).stored.drop(*STAMPS)
 
 
+
+# ---- fallback source of the exome cohort (P2) ----
+
+_VITAL = ["Dead", "Alive", "LIVING", "", "[Unknown]", None, "1"]
+FOLLOW_UP = {
+    "bcr_patient_barcode": f"CASE WHEN c_custkey % 30 = 4 THEN 'NA' ELSE {_BARCODE} END",
+    "age_at_initial_pathologic_diagnosis": sql_pick(["45", "50.5", "NA"], "c_custkey"),
+    "gender": sql_pick(["F", "FEMALE", "NA", "M"], "c_custkey"),
+    "race_list": sql_pick(["", None, "WHITE", "NA"], "c_custkey"), "race": sql_pick(["ASIAN", "", None], "c_nationkey"),
+    "ethnicity": sql_pick(["", "H", "NA"], "c_nationkey"), "vital_status": sql_pick(_VITAL, "c_custkey"),
+    "death_days_to": sql_pick(["0", "304.4", "", "1200"], "c_custkey"), "last_contact_days_to": "c_custkey",
+    "histological_type": sql_pick(["IDC", "Odd", ""], "c_custkey"),
+    "neoplasm_histologic_grade": sql_pick(["1", "2", "3", "4", ""], "c_custkey"),
+    "ajcc_pathologic_tumor_stage": sql_pick(["Stage IIA", "Stage X", "III"], "c_custkey"),
+    "tumor_size": sql_pick(["2", "1.5", "", "NA"], "c_custkey + c_nationkey"),
+    "lymph_node_examined_count": sql_pick(["0", "2", "9", "NA"], "c_nationkey"),
+    "lymph_nodes_examined_count": sql_pick(["4", "", "12"], "c_nationkey"),
+    "er_status_by_ihc": sql_pick(_STATUS, "c_custkey"), "pr_status_by_ihc": sql_pick(_STATUS, "c_custkey + c_nationkey"),
+    "her2_status_by_ihc": sql_pick(_STATUS, "c_nationkey"),
+}
+_RACE = "CASE WHEN race_list <> '' THEN race_list ELSE coalesce(race, '') END"
+_FOLLOW_UP_ROWS = f"""
+    raw AS ({sql_bronze("customer", FOLLOW_UP, "c_custkey")}),
+    bio AS (SELECT *, TRY_CAST({sql_clean("age_at_initial_pathologic_diagnosis")} AS DOUBLE) AS age,
+                   {sql_map("trim(vital_status)", vocab.VITAL_STATUS)} AS vital,
+                   TRY_CAST({sql_clean("death_days_to")} AS DOUBLE) AS death, {sql_clean("gender")} AS sex,
+                   TRY_CAST({sql_clean("neoplasm_histologic_grade")} AS INTEGER) AS grade,
+                   TRY_CAST({sql_clean("tumor_size")} AS DOUBLE) AS size,
+                   TRY_CAST({sql_clean("lymph_node_examined_count")} AS INTEGER) AS n_found,
+                   {sql_receptor("er_status_by_ihc")} AS er, {sql_receptor("pr_status_by_ihc")} AS pr,
+                   {sql_receptor("her2_status_by_ihc")} AS her2
+            FROM raw WHERE {sql_clean("bcr_patient_barcode")} IS NOT NULL)"""
+
+
+def _follow_up(t, **how) -> clinical.Clinical:
+    return clinical.biotab_clinical(bronze(t.customer, FOLLOW_UP, "c_custkey"), **how)
+
+
+@query("q_p2_patients", f"""
+    WITH {_FOLLOW_UP_ROWS}
+    SELECT bcr_patient_barcode AS patient_id, 'TCGA-BRCA' AS study_source, age AS age_at_diagnosis, sex,
+           {sql_clean(f"({_RACE})")} AS race, {sql_clean("ethnicity")} AS ethnicity,
+           CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 50 THEN 'Pre' ELSE 'Post' END AS menopausal_status,
+           vital AS vital_status,
+           round(CASE WHEN vital = 'Deceased' AND death <> 0 THEN death
+                      ELSE last_contact_days_to::DOUBLE END / 30.44::DOUBLE, 2) AS os_months,
+           CASE vital WHEN 'Deceased' THEN 1 WHEN 'Alive' THEN 0 END AS os_event,
+           NULL::DOUBLE AS dfs_months, NULL::INTEGER AS dfs_event
+    FROM bio WHERE sex IS NULL OR sex IN ('M', 'F')""")
+def follow_up_patients(t):
+    rows = _follow_up(t)
+    return insert_ignore(PATIENTS, rows.patients, rows.order).stored.drop(*STAMPS)
+
+
+def _follow_up_tumors_sql(positive: str) -> str:
+    return f"""
+    WITH {_FOLLOW_UP_ROWS}, n AS (SELECT *, {positive} AS positive FROM bio)
+    SELECT bcr_patient_barcode || '-01' AS tumor_id, bcr_patient_barcode AS patient_id,
+           {sql_map("histological_type", vocab.HISTOLOGY, sql_clean("histological_type"))} AS histological_type,
+           grade AS tumor_grade, {sql_map("ajcc_pathologic_tumor_stage", vocab.STAGE)} AS tumor_stage,
+           size AS tumor_size_cm, positive AS lymph_nodes_positive,
+           TRY_CAST({sql_clean("lymph_nodes_examined_count")} AS INTEGER) AS lymph_nodes_examined,
+           er AS er_status, pr AS pr_status, her2 AS her2_status, {sql_tnbc("er", "pr", "her2")} AS tnbc_status,
+           'Unknown' AS pam50_subtype, NULL::VARCHAR AS integrative_cluster,
+           CASE WHEN size IS NOT NULL AND grade IS NOT NULL AND positive IS NOT NULL
+                THEN round(0.2::DOUBLE * size + grade + CASE WHEN positive = 0 THEN 1 WHEN positive <= 3 THEN 2 ELSE 3 END, 2)
+                END AS nottingham_prognostic_index
+    FROM n WHERE coalesce(grade IN (1, 2, 3), TRUE) AND er <> 'Equivocal' AND pr <> 'Equivocal'"""
+
+
+@query("q_p2", _follow_up_tumors_sql("n_found"))
+def follow_up_tumors(t):
+    rows = _follow_up(t)
+    return insert_ignore(TUMORS, rows.tumors, rows.order).stored.drop(*STAMPS)
+
+
+@query("q_p2_strict", _follow_up_tumors_sql("NULL::INTEGER"))
+def follow_up_tumors_strict(t):
+    rows = _follow_up(t, examined_as_positive=False)
+    return insert_ignore(TUMORS, rows.tumors, rows.order).stored.drop(*STAMPS)
+
+
 DRUGS = {
     "bcr_patient_barcode": "concat('TCGA-X-', user_id)",
     "therapy_type": sql_pick(["Chemotherapy", "", None, "Immunotherapy"], "event_id"),

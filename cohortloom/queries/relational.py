@@ -189,13 +189,16 @@ def anti_join(t):
 _GENE = "CASE WHEN l_suppkey % 10 = 0 THEN '?' WHEN l_suppkey % 10 = 1 THEN 'nan' ELSE 'S' || l_suppkey END"
 
 
+_PART_GENE = _GENE.replace("'S' || l_suppkey", "'S' || l_suppkey || '-' || l_partkey")
+
+
 @query("q_c6", f"""
-    SELECT * FROM (SELECT {_GENE} AS gene FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48
-                   INTERSECT SELECT {_GENE} FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 48)
+    SELECT * FROM (SELECT {_PART_GENE} AS gene FROM lineitem WHERE l_returnflag = 'R'
+                   INTERSECT SELECT {_PART_GENE} FROM lineitem WHERE l_returnflag <> 'R')
     WHERE gene NOT IN ('', 'nan', '?')""")
 def shared_genes(t):
-    lines = t.lineitem.where(F.col("l_quantity") > 48)
-    cohorts = [lines.where(F.col("l_returnflag") == f).select(F.expr(_GENE).alias("gene")) for f in "RA"]
+    returned = F.col("l_returnflag") == "R"
+    cohorts = [t.lineitem.where(f).select(F.expr(_PART_GENE).alias("gene")) for f in (returned, ~returned)]
     return lookup.shared_keys(*cohorts, "gene").where(c.valid_symbol("gene"))
 
 

@@ -9,6 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 LINE_ORDER = ["_file", "_block", "_line"]
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Two scans of a file must be split alike, or the places of its lines differ. Unset,
+    the splits follow the executors of the moment; from here on they stay as they are."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def exists(spark: SparkSession, path: str | None) -> bool:
     """Is the source there, on whatever file system the path names?"""
     if path is None:
@@ -25,6 +32,7 @@ def preferred(spark: SparkSession, *paths: str | None) -> str | None:
 
 def with_line_order(scan: DataFrame) -> DataFrame:
     """Tag rows with their place in the source; call directly on a file scan."""
+    pin_splits(scan.sparkSession)
     return scan.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),

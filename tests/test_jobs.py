@@ -195,6 +195,20 @@ def test_clinical_reload_changes_nothing(loaded, src):
     assert {t: rows(loaded.read(t)) for t in before} == before
 
 
+def test_loads_tell_what_was_dropped(loaded, src):
+    """Attempted rows are stored or rejected; skipped ones never were rows of a table."""
+    jobs.load_mutations(loaded, src)
+    panel, exome = loaded.loads
+    assert (panel.table, panel.attempted, panel.skipped) == ("mutations", 4, {"unknown tumor": 1, "no gene": 1})
+    assert exome.skipped["unknown tumor"] >= 1
+    jobs.load_mutations(loaded, src)
+    for load in loaded.loads:
+        assert load.attempted == load.stored + load.rejected.count()
+    again = loaded.loads[2]
+    assert (again.stored, again.reasons) == (0, {"already_stored": 4})
+    assert (3, "mutations", "rejected: already_stored", 4) in rows(loaded.load_report())
+
+
 def test_clinical_without_sources(store):
     assert jobs.load_clinical(store, jobs.Sources()) == {"patients": 0, "tumors": 0, "treatments": 0}
     assert store.count("harmonization_log") == 11

@@ -67,3 +67,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_latest_row_needs_no_full_sort(spark):
     assert "TakeOrderedAndProject" in plan_of(spark, "q_f3")
+
+
+@pytest.mark.parametrize("name, table, scans", [("q_d_reject", "lineitem", 3), ("q_s1_counts", "lineitem", 6)])
+def test_a_load_reads_its_batch_twice(spark, name, table, scans):
+    """Once for the first row of every key, once for the rows; the third scan is of the
+    rows stored before. Counting both sides without writing the judged rows doubles it."""
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= scans
+
+
+def test_queries_leave_no_views_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for name in ("q_i4", "q_g2_lines", "q_g3_lines"):
+        entry.queries()[name](spark, FOLDER)
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -60,6 +60,25 @@ def test_biotab_drops_two_rows_of_every_file(spark, tmp_path, small_splits):
     assert rows(got, "id") == sorted(((f"{k}-{i}",) for k in range(3) for i in range(40)), key=str)
 
 
+def test_scans_are_split_alike_whatever_the_parallelism(spark, write, monkeypatch):
+    """Between two scans of one file the executors may come or go."""
+    path = write("p.txt", "n\n" + "".join(f"{i}\n" for i in range(500)))
+    settings = ("spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.minPartitionNum")
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        spark.conf.set(settings[0], "1")
+        first = rows(d.read_table(spark, path), "n", *d.LINE_ORDER)
+        spark.conf.set(settings[1], "2")
+        assert rows(d.read_table(spark, path), "n", *d.LINE_ORDER) == first
+        # Not pinned, the same lines get other places.
+        spark.conf.unset(settings[2])
+        monkeypatch.setattr(d, "pin_splits", lambda _: None)
+        assert rows(d.read_table(spark, path), "n", *d.LINE_ORDER) != first
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_biotab_with_fewer_rows_than_junk(spark, write):
     assert d.read_biotab(spark, write("s.txt", "id\nonly\n")).count() == 0
 
