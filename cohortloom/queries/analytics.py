@@ -171,7 +171,8 @@ def _sql(t, text, **tables):
 # One text line per user and a column per event type; click and view share a sample,
 # signup and error are no known samples. Empty and NA cells are missing.
 _LINES = "SELECT user_id, " + ", ".join(
-    f"max(CASE WHEN event_type = '{e}' AND event_id % 7 <> 0 THEN event_id END) AS {e}" for e in _EVENT_TYPES
+    f"max(CASE WHEN event_type = '{e}' AND (user_id + {i}) % 7 <> 0 THEN event_id END) AS {e}"
+    for i, e in enumerate(_EVENT_TYPES)
 ) + " FROM events GROUP BY user_id"
 _SAMPLES = {"click": "web", "view": "web", "purchase": "shop"}
 
