@@ -2,8 +2,8 @@
 
 After Johnson, Li and Rabinovic (2007), parametric priors, no covariates. Cells are
 long: (feature, sample, batch, value), one row per feature and sample, null value
-for "not measured". The iteration runs on one row per feature and batch; cells are
-only scanned for grouped statistics and for the final correction.
+for "not measured". The iteration runs on one row per feature and batch, up to its limit;
+cells are only scanned for grouped statistics and for the final correction.
 
 Where the paper leaves room: prior variances use n - 1; features without any
 variance stay out of the priors and pass unchanged.
@@ -18,7 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import checkpointed
 from .lookup import checked_broadcast
 
+#: Fixed-point steps of every feature, and the relative change of the last one above which
+#: a feature has not settled; its limit is then found by halving.
 ITERATIONS = 50
+SETTLED = 1e-12
+HALVINGS = 100
 
 
 def measured(value: str = "value") -> Column:
@@ -152,7 +156,13 @@ def priors(estimates: DataFrame) -> DataFrame:
 
 
 def posterior(estimates: DataFrame, prior: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
-    """Shrunken gamma_star and delta_star by fixed-point steps inside one expression.
+    """Shrunken gamma_star and delta_star: the limit of fixed-point steps that start at the
+    plain estimates.
+
+    As d -> low + rise * (d / (spread + d)) ** 2, a step grows with d, so the steps run one
+    way up to the nearest fixed point. Where ``iterations`` steps do not get there, it is
+    halved out of an interval that holds no other: between the turning points of the cubic
+    (low - d) * (spread + d) ** 2 + rise * d ** 2, whose zeros the fixed points are.
 
     Where a prior has no spread to fit (a single feature, or equal estimates), the
     plain estimates are used.
@@ -160,22 +170,50 @@ def posterior(estimates: DataFrame, prior: DataFrame, iterations: int = ITERATIO
     n, gamma, delta = F.col("n"), F.col("gamma"), F.col("delta")
     scaled_m2 = F.col("m2") / (F.col("sigma") * F.col("sigma"))
 
+    def shift(d: Column) -> Column:
+        return F.try_divide(n * F.col("tau2") * gamma + d * F.col("gamma_bar"), n * F.col("tau2") + d)
+
+    def ratio(g: Column) -> Column:
+        return (0.5 * (F.col("_scaled_m2") + n * (gamma - g) * (gamma - g)) + F.col("b")) / (n / 2 + F.col("a") - 1)
+
     def step(state: Column, _: Column) -> Column:
-        g = F.try_divide(
-            n * F.col("tau2") * gamma + state["d"] * F.col("gamma_bar"), n * F.col("tau2") + state["d"])
-        d = (0.5 * (F.col("_scaled_m2") + n * (gamma - g) * (gamma - g)) + F.col("b")) / (n / 2 + F.col("a") - 1)
-        return F.struct(g.alias("g"), d.alias("d"))
+        g = shift(state["d"])
+        return F.struct(g.alias("g"), ratio(g).alias("d"), state["d"].alias("before"))
 
-    start = F.struct(gamma.alias("g"), delta.alias("d"))
+    def halve(ends: Column, _: Column) -> Column:
+        mid = (ends["lo"] + ends["hi"]) / 2
+        above = ratio(shift(mid)) > mid
+        return F.struct(F.when(above, mid).otherwise(ends["lo"]).alias("lo"),
+                        F.when(above, ends["hi"]).otherwise(mid).alias("hi"))
+
+    start = F.struct(gamma.alias("g"), delta.alias("d"), delta.alias("before"))
     fitted = F.col("tau2").isNotNull() & F.col("a").isNotNull()
-    solved = F.when(
+    stepped = F.when(
         fitted, F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, step)
     ).otherwise(start)
+
+    d, before, spread = F.col("_post.d"), F.col("_post.before"), n * F.col("tau2")
+    low, rise = ratio(gamma), ratio(F.col("gamma_bar")) - ratio(gamma)
+    p, q = F.col("_low") + F.col("_rise") - 2 * spread, spread * (2 * F.col("_low") - spread)
+    root = F.when(p * p + 3 * q > 0, F.sqrt(p * p + 3 * q))
+    bottom, top = F.col("_bottom"), F.col("_top")
+    up = F.when((bottom > d) & (ratio(shift(bottom)) <= bottom), F.struct(d.alias("lo"), bottom.alias("hi"))).otherwise(
+        F.struct(F.greatest(d, top).alias("lo"), (F.col("_low") + F.col("_rise")).alias("hi")))
+    down = F.when((top < d) & (ratio(shift(top)) >= top), F.struct(top.alias("lo"), d.alias("hi"))).otherwise(
+        F.struct(F.col("_low").alias("lo"), F.least(d, bottom).alias("hi")))
+    is_open = fitted & (F.abs(d - before) > SETTLED * d) & (d < float("inf"))
+    limit = F.when(is_open, F.aggregate(
+        F.sequence(F.lit(1), F.lit(HALVINGS)), F.when(d > before, up).otherwise(down), halve,
+        lambda ends: (ends["lo"] + ends["hi"]) / 2))
     return (
         estimates.join(F.broadcast(prior) if _few(prior) else prior, "batch", "left")
-        .withColumn("_scaled_m2", scaled_m2).withColumn("_post", solved)
+        .withColumn("_scaled_m2", scaled_m2).withColumn("_post", stepped)
+        .withColumn("_low", low).withColumn("_rise", rise)
+        .withColumn("_bottom", (p - root) / 3).withColumn("_top", (p + root) / 3)
+        .withColumn("_limit", limit)
         .select("feature", "batch", "feature_mean", "alpha", "sigma",
-                F.col("_post.g").alias("gamma_star"), F.col("_post.d").alias("delta_star"))
+                F.when(F.col("_limit").isNull(), F.col("_post.g")).otherwise(shift(F.col("_limit"))).alias("gamma_star"),
+                F.coalesce("_limit", d).alias("delta_star"))
     )
 
 

@@ -66,6 +66,35 @@ def test_matches_dense(spark, sizes):
     assert np.abs(wide(got, x.shape) - dense_combat(x, batch)).max() < 1e-9
 
 
+def test_features_that_settle_late_reach_their_limit(spark):
+    """Far shifts, from either side: a few need many more steps than 50."""
+    n, t2, g_bar, a, b = 20, 0.3, 0.1, 3.0, 1.0
+    grid = [(g, d) for g in np.linspace(-9, 9, 400) for d in (0.2, 0.3, 5.0, 9.0)]
+    g_hat, d_hat = np.array(grid).T
+    m2 = d_hat * (n - 1)
+    # Every other row starts far above its limit.
+    start = np.where(np.arange(len(grid)) % 2, 40.0, d_hat)
+
+    def dense(steps):
+        d = start.copy()
+        for _ in range(steps):
+            g = (n * t2 * g_hat + d * g_bar) / (n * t2 + d)
+            d = (0.5 * (m2 + n * (g_hat - g) ** 2) + b) / (n / 2 + a - 1)
+        return g, d
+
+    want_g, want_d = dense(20_000)
+    assert np.abs(dense(50)[1] / want_d - 1).max() > 0.1
+    estimates = spark.createDataFrame(
+        [(f"g{i:04d}", "A", 0.0, 0.0, 1.0, float(n), float(m), float(g), float(d))
+         for i, (g, m, d) in enumerate(zip(g_hat, m2, start))],
+        "feature string, batch string, feature_mean double, alpha double, sigma double, n double, m2 double, "
+        "gamma double, delta double")
+    prior = spark.createDataFrame([("A", g_bar, t2, a, b)], "batch string, gamma_bar double, tau2 double, a double, b double")
+    got = rows(combat.posterior(estimates, prior), "feature", "gamma_star", "delta_star")
+    assert np.abs(np.array([r[2] for r in got]) / want_d - 1).max() < 1e-9
+    assert np.abs(np.array([r[1] for r in got]) - want_g).max() < 1e-9
+
+
 def test_missing_values_and_constant_feature(spark):
     x, batch = matrix()
     x[3] = 4.0
