@@ -21,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import staged
 from .base import identified_texts
@@ -191,9 +191,9 @@ def _promising(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
             chosen = pa.array(alive)
             yield pa.RecordBatch.from_arrays([batch.column(k).take(chosen) for k in (0, 1)], ["a", "b"])
 
-    of = classes.select("rep", "n_shingles", "signature")
-    left = of.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
-    right = of.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
+    of = classes.select("node", "n_shingles", "signature")
+    left = of.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
+    right = of.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
     # A set cannot be that similar to one of another size.
     sized = pairs.join(left, "a").join(right, "b").where(
         100 * F.least("n_a", "n_b") >= like.percent * F.greatest("n_a", "n_b"))
@@ -205,22 +205,22 @@ def _joining(members: DataFrame, components: DataFrame, classes: DataFrame, text
     A pair is looked at in the first band that it shares, and only while it is apart."""
     plan = least_agreements(like.percent)
     bucket = ["band", "key"]
-    placed = members.select(*bucket, "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
+    placed = members.select(*bucket, "node").join(components.withColumnRenamed("id", "node"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
     mixed = placed.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     rows = placed.join(mixed.select(*bucket), bucket, "left_semi").join(
-        classes.select("rep", "n_shingles", "signature"), "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+        classes.select("node", "n_shingles", "signature"), "node").join(texts, "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(tile: pa.Table) -> pa.Table:
         get = {c: tile.column(c) for c in tile.column_names}
-        rep, component, size = (np.array(get[c], np.int64) for c in ("rep", "component", "n_shingles"))
+        node, component, size = (np.array(get[c], np.int64) for c in ("node", "component", "n_shingles"))
         left, right = (np.flatnonzero(np.array(get[c], bool)) for c in ("left", "right"))
         signs, band = _signatures_of(get["signature"]), get["band"][0].as_py()
         found = [np.zeros((3, 0), np.int64)]
         for start in range(0, len(left), 64):
             part = left[start:start + 64, None]
-            fit = (rep[part] < rep[right]) & (component[part] != component[right]) & (
+            fit = (node[part] < node[right]) & (component[part] != component[right]) & (
                 100 * np.minimum(size[part], size[right]) >= like.percent * np.maximum(size[part], size[right]))
             x, y = np.nonzero(fit)
             for at in range(0, len(x), PAIRS):
@@ -245,11 +245,11 @@ def _joining(members: DataFrame, components: DataFrame, classes: DataFrame, text
             x, y = root(int(component[i])), root(int(component[j]))
             if x != y and _alike(sets[i], sets[j], like):
                 tree[max(x, y)] = min(x, y)
-                links.append((int(rep[i]), int(rep[j])))
+                links.append((int(node[i]), int(node[j])))
         columns = list(zip(*links)) or [(), ()]
         return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
-    tiled = in_tiles(rows, bucket, "rep", TILE)
+    tiled = in_tiles(rows, bucket, "node", TILE)
     return staged(tiled.groupBy(*bucket, "i", "j").applyInArrow(meet, "a bigint, b bigint"))
 
 
@@ -258,10 +258,11 @@ def _alike(a: np.ndarray, b: np.ndarray, like: Similarity) -> bool:
     return 100 * common >= like.percent * (len(a) + len(b) - common)
 
 
-def _candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(doc_id, text) of the classes that share a bucket with another. A filter of fixed
+def _candidate_texts(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, text) of the classes that share a bucket with another. A filter of fixed
     size spares most other texts the shuffle; the join is exact."""
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
+    reps = classes.select("node", F.col("rep").alias("doc_id"), "text_key").join(
+        members.select("node").distinct(), "node", "left_semi")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
     words = reps.select(place.alias("p")).select(
         F.shiftright("p", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit")
@@ -279,14 +280,16 @@ def _candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     passed = docs.where("doc_id is not null").select("doc_id", "text", place).mapInArrow(
         pass_on, "doc_id bigint, text string")
-    return staged(passed.join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    own = ["doc_id", "text_key"]
+    return staged(passed.withColumn("text_key", text_key()).join(reps, own).groupBy(*own).agg(
+        F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text"))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough; written, as it is read again."""
     both = (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a")), "a")
+        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t_b")), "b")
+        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("t_a")), "a")
         .select("a", "b", "t_a", "t_b")
     )
 
@@ -305,60 +308,104 @@ def _linked(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     return staged(both.mapInArrow(verify, "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document. Documents are linked if
-    the sets of their word shingles have a Jaccard similarity of ``like.percent`` or more;
-    component_id is the smallest doc_id that links reach, and kept marks it.
+class Graph(NamedTuple):
+    signed: DataFrame  # doc_id, text_key, n_shingles, digest of every row
+    classes: DataFrame  # digest, node, and the least row (rep, text_key) of each class
+    links: DataFrame  # (a, b): nodes
 
-    Null texts and texts without words have no set and link with nothing. Rows with the
-    same doc_id count as one node. A row with a null id belongs to the documents of the
-    same set, if any, and has a null component otherwise. An empty table gives no rows;
-    other columns are not read.
-    """
+
+def text_key() -> Column:
+    """Tells texts with the same doc_id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _graph(docs: DataFrame, like: Similarity) -> Graph:
+    """Classes of texts with the same set, and links that join all classes that are alike."""
     texts = identified_texts(docs)
 
     def sign(batches):
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), like.width)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array(signatures(sets), pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                pa.array(signatures(sets), pa.binary())], ["doc_id", "text_key", "n_shingles", "digest", "signature"])
 
-    signed = staged(texts.mapInArrow(sign, "doc_id bigint, n_shingles bigint, digest binary, signature binary"))
+    signed = staged(texts.withColumn("text_key", text_key()).mapInArrow(
+        sign, "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, signature binary"))
+    # One doc_id can stand for several classes, so they are numbered; the numbers are written.
     classes = staged(
         signed.where("digest is not null and doc_id is not null").groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("least"))
-        .select("digest", F.col("least.doc_id").alias("rep"), "least.n_shingles", "least.signature"))
+        .agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "signature")).alias("least"))
+        .select("digest", F.monotonically_increasing_id().alias("node"), F.col("least.doc_id").alias("rep"),
+                "least.text_key", "least.n_shingles", "least.signature"))
     width = 4 * ROWS
     keys = F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("signature", width * k + 1, width)).alias("key"))
                      for k in range(BANDS)])
-    members = classes.select("rep", F.explode(keys).alias("_b")).select("_b.*", "rep")
-    heads = members.groupBy("band", "key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = staged(members.join(heads, ["band", "key"]).select("band", "key", "rep", "leader"))
-    candidates = _candidate_texts(texts, members)
+    members = classes.select("node", F.explode(keys).alias("_b")).select("_b.*", "node")
+    heads = members.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    members = staged(members.join(heads, ["band", "key"]).select("band", "key", "node", "leader"))
+    candidates = _candidate_texts(texts, members, classes)
 
-    stars = members.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = _linked(staged(_promising(stars, classes, like)), candidates, like)
     components = staged(connected_components(links))
     more = _joining(members, components, classes, candidates, like)
-    components = staged(connected_components(links.union(more)))
+    return Graph(signed.drop("signature"), classes.select("digest", "node", "rep", "text_key"), links.union(more))
+
+
+def _least_rows(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(digest, least) of every class: the least row (rep, text_key) that links reach."""
+    components = staged(connected_components(links).withColumnRenamed("id", "node"))
+    row = F.struct("rep", "text_key")
+    least = components.join(classes, "node").groupBy("component").agg(F.min(row).alias("least"))
+    reached = components.join(least, "component").select("node", "least")
+    return classes.join(reached, "node", "left").select("digest", F.coalesce("least", row).alias("least"))
+
+
+def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document. Documents are linked if
+    the sets of their word shingles have a Jaccard similarity of ``like.percent`` or more;
+    component_id is the smallest doc_id that links reach, and kept marks it.
+
+    Null texts and texts without words have no set and link with nothing. Rows with the
+    same doc_id count as one node, whatever their texts. A row with a null id belongs to
+    the documents of the same set, if any, and has a null component otherwise. An empty
+    table gives no rows; other columns are not read.
+    """
+    signed, classes, links = _graph(docs, like)
     rows = signed.select("doc_id", "n_shingles", "digest")
-    found = rows.join(classes.select("digest", "rep"), "digest", "left").join(
-        components.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
+    # The texts of an id that has several are linked, and it stands for those without a set.
+    several = staged(
+        rows.where("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.count("digest").alias("n"), F.count("*").alias("of"))
+        .where("lo < hi or n < of and n > 0").select("doc_id", "lo"))
+    node = classes.select("digest", "node")
+    same_id = (
+        rows.join(several, "doc_id").where("digest > lo").select("lo", "digest").distinct()
+        .join(node.select(F.col("digest").alias("lo"), F.col("node").alias("a")), "lo")
+        .join(node.withColumnRenamed("node", "b"), "digest").select("a", "b")
+    )
+    found = rows.join(several, "doc_id", "left").withColumn("digest", F.coalesce("digest", "lo")).join(
+        _least_rows(classes, links.union(same_id)), "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("least.rep"))
     return found.withColumn("component_id", component).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
-    """The rows with the smallest doc_id of each group of near-duplicates, all columns as
-    they are. Of rows with the same doc_id one stays; rows with a null id all stay."""
-    spark_ids = docs.select(F.col("doc_id").cast("bigint").alias("_id"))
-    found = near_duplicates(docs, like)
-    gone = staged(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct())
-    repeated = staged(spark_ids.where("_id is not null").groupBy("_id").count().where("count > 1").select("_id"))
-    on = F.col("doc_id").cast("bigint") == F.col("_id")
+    """The row with the smallest doc_id of each group of near-duplicates, all columns as
+    they are. Texts are grouped by their links alone: a text stays if none of its group
+    does, also where its doc_id has another text that goes. Of rows with the same doc_id
+    and text one stays; rows with a null id all stay."""
+    signed, classes, links = _graph(docs, like)
+    found = signed.where("doc_id is not null").join(_least_rows(classes, links), "digest")
+    own = F.struct(F.col("doc_id").alias("rep"), "text_key")
+    gone = staged(found.where(own != F.col("least")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+    row_ids = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_key().alias("_key")).where("_id is not null")
+    repeated = staged(row_ids.groupBy("_id", "_key").count().where("count > 1").select("_id", "_key"))
+    on = (F.col("doc_id").cast("bigint") == F.col("_id")) & (text_key() == F.col("_key"))
     once = docs.join(gone.union(repeated).distinct(), on, "left_anti")
-    several = docs.join(repeated.join(gone, "_id", "left_anti"), on, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(several)
+    more = docs.join(repeated.join(gone, ["_id", "_key"], "left_anti"), on, "left_semi")
+    first = more.withColumn("_key", text_key()).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return once.unionByName(first)

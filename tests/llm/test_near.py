@@ -147,6 +147,21 @@ def test_odd_texts(odd_docs, no_docs):
     assert ids == sorted([*(str(i) for i in got if i != 13), "None", "None"])
 
 
+def test_rows_that_share_an_id_but_not_the_text(spark):
+    """5:B is alone, 7:D is near 4:D', 8 has two texts alike; 6 and 9 have one of their own each."""
+    a, b, d, e, g, h = (" ".join(f"{x}{i}" for i in range(80)) for x in "abdegh")
+    rows = [(3, a), (5, a), (5, b), (7, g), (7, d), (4, d + " end"), (8, e), (8, e + " end"), (6, h), (6, None), (9, a), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    like = Similarity(5, 80)
+    got = near_texts.near_duplicates(docs, like).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {
+        (3, 3), (5, 3), (7, 4), (4, 4), (8, 8), (6, 6), (9, 3)}
+    kept = sorted((r.doc_id, r.text or "") for r in near_texts.keep_one_of_each(docs, like).collect())
+    assert {t for i, t in kept if i == 8} < {e, e + " end"} and len([1 for i, _ in kept if i == 8]) == 1
+    assert [r for r in kept if r[0] != 8] == sorted([(3, a), (5, b), (4, d + " end"), (7, g), (6, h), (6, ""), (9, "")])
+
+
 def test_text_query(spark, docs):
     got = result(queries.QUERIES["op9_near_texts"](spark, FOLDER))
     assert got == brute(texts(docs), Similarity(4, 80))
