@@ -31,7 +31,7 @@ from .tiles import in_tiles
 BANDS, ROWS = 30, 5
 BATCH = 30
 #: Probability with which a pair at the threshold may be given up, at each batch.
-MISS = 1e-5
+MISS = 1e-7
 #: Members of a bucket that are compared in one task on either side, and pairs at a time.
 TILE, PAIRS = 512, 50_000
 #: Bits of the filter by which documents that are no candidates are left out early. It is

@@ -96,6 +96,17 @@ def test_bounds_prune_what_is_unlikely_only():
     assert np.mean([misses[:, n - 1] >= m for n, m in plan[1:2]]) < 0.01
 
 
+def test_pruning_misses_no_more_than_the_bands():
+    """Exact chance of giving up a pair at the threshold at any of the batches."""
+    alive, before, lost = np.ones(1), 0, 0.0
+    for n, least in near_texts.least_agreements(80):
+        for _ in range(n - before):
+            alive = np.concatenate([alive, [0]]) * 0.2 + np.concatenate([[0], alive]) * 0.8
+        lost, before = lost + alive[:least].sum(), n
+        alive[:least] = 0
+    assert 1e-9 < lost < (1 - 0.8 ** near_texts.ROWS) ** near_texts.BANDS < 1e-5
+
+
 def variants(seed, n, changes):
     """A group of texts, each with a few words of a common text replaced."""
     rng = random.Random(seed)
