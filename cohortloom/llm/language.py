@@ -168,14 +168,19 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, filters: Filters) -> DataFrame:
-    """The rows whose text has a language, all columns as they are."""
+    """The rows whose text has a language, all columns as they are; the rows whose text has
+    a letter if the filters know no language."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            languages, _ = decide(batch.column(at).to_pylist(), shared.value)
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in languages], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if shared.value.languages:
+                keep = [lang != UNKNOWN for lang in decide(texts, shared.value)[0]]
+            else:
+                keep = [t is not None and LETTER.search(t) is not None for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

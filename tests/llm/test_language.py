@@ -75,3 +75,9 @@ def test_without_labels_nothing_is_known(odd_docs, no_docs):
         filters = language.learn(docs, F.col("lang"))
         assert filters.languages == []
         assert {r.lang_pred for r in language.identify(odd_docs, filters).collect()} == {"und"}
+
+
+def test_without_labels_texts_with_letters_stay(odd_docs):
+    unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = language.keep_identified(unlabelled, language.learn(unlabelled, F.col("lang")))
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in odd_docs.collect()} - {7, 5, 20}
