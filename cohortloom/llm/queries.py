@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10: each applies its operator to a whole table and
+"""The registered queries op1 to op13: each applies its operator to a whole table and
 derives the columns that are compared."""
 
 from __future__ import annotations
@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
-from . import bpe, fingerprints, id_files, language, markov, near_texts, near_vectors, packing, secrets, sharding
+from . import (
+    bpe, fingerprints, hard_negatives, id_files, language, markov, near_texts, near_vectors, packing,
+    secrets, sharding, url_filter,
+)
 from .base import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +101,73 @@ def op10_id_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/ids-{uuid.uuid4().hex}"
     id_files.write_ids(table(spark, folder, "documents"), BYTE_BPE, path)
     return id_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM r a, r b WHERE a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3"""
+
+URL_RULES = (
+    url_filter.Rule("block", "net"), url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/"),
+)
+
+
+@query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+
+    def count(terms):
+        hits = [f"CAST(regexp_matches(flat, '(^|[^a-z0-9]){t}($|[^a-z0-9])') AS BIGINT)" for t in terms]
+        return " + ".join(hits)
+
+    return f"""
+WITH rules(verdict, host, path) AS (VALUES {rules}),
+u AS (
+  SELECT page_id, translate(coalesce(url, ''), '{"".join(map(chr, range(65, 91)))}', '{"".join(map(chr, range(97, 123)))}') AS flat,
+    CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, flat, substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path,
+    translate(regexp_extract(rest, '^[^/]*'), '{"".join(map(chr, range(65, 91)))}', '{"".join(map(chr, range(97, 123)))}') AS host
+  FROM u),
+c AS (SELECT *, {count(url_filter.STRICT)} AS n_strict, {count(url_filter.SOFT)} AS n_soft FROM h),
+f AS (
+  SELECT c.page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+    max_by(r.verdict, length(r.host || r.path)) AS verdict
+  FROM c JOIN rules r ON (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path)
+  GROUP BY c.page_id)
+SELECT page_id, c.host, c.path, f.rule,
+  coalesce(f.verdict, CASE WHEN n_strict > 0 OR n_soft >= {url_filter.Vocabulary().soft_hits} THEN 'block' ELSE 'allow' END) AS verdict,
+  n_strict, n_soft
+FROM c LEFT JOIN f USING (page_id)"""
+
+
+ORACLE["op12_url_filter"] = _url_sql()
