@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
 from . import (
-    bpe, fingerprints, hard_negatives, id_files, language, markov, near_texts, near_vectors, packing,
+    bpe, fingerprints, hard_negatives, id_files, language, markov, near_texts, near_vectors, packing, prefix_trie,
     secrets, sharding, url_filter,
 )
 from .base import id_remainder, table
@@ -171,3 +171,50 @@ FROM c LEFT JOIN f USING (page_id)"""
 
 
 ORACLE["op12_url_filter"] = _url_sql()
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+#: Nodes by the text of their whole prefix; the checksum of an id goes bit by bit.
+ORACLE["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, count(*) AS n,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295) % 6 AS h
+  FROM t GROUP BY conv_id),
+parts AS (
+  SELECT c.conv_id, 0 AS side, b.place, b.role, b.text FROM ids c JOIN t b ON b.conv_id = c.base AND b.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.place, o.role, o.text FROM ids c JOIN t o ON o.conv_id = c.conv_id AND o.place > c.h),
+turns AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w AS prefix
+  FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY side, place)
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM ids),
+stops AS (SELECT conv_id, max_by(prefix, depth) AS prefix FROM turns GROUP BY conv_id),
+ends AS (SELECT prefix, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha FROM stops GROUP BY prefix),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved
+  FROM turns GROUP BY prefix, depth),
+up AS (
+  SELECT n.*, p.prefix AS parent, p.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN turns o ON n.depth > 0 AND o.conv_id = n.conv_id AND o.depth = n.depth - 1
+  LEFT JOIN nodes p ON p.prefix = o.prefix AND p.depth = o.depth),
+kids AS (SELECT parent, count(*) AS n FROM up WHERE parent IS NOT NULL GROUP BY parent),
+every AS (
+  SELECT u.*, coalesce(k.n, 0) AS n_children FROM up u LEFT JOIN kids k ON k.parent = u.prefix),
+sub AS (
+  SELECT a.prefix, count(*) FILTER (WHERE d.n_children = 0) AS n_leaves, sum(d.saved) AS saved_tokens
+  FROM every d JOIN turns a ON a.conv_id = d.conv_id AND a.depth <= d.depth GROUP BY a.prefix)
+SELECT e.conv_id, CAST(e.depth AS BIGINT) AS depth, e.parent_conv_id, e.n_convs, e.n_children,
+  s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(x.sha, sha256('')) AS ends_sha256
+FROM every e JOIN sub s USING (prefix) LEFT JOIN ends x USING (prefix)"""
