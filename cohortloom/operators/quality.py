@@ -105,11 +105,17 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
         rows = rows.join(first, spec.key, "left").withColumn(
             "reasons", _also(F.col("_first") != place, "duplicate_in_batch"))
     if existing is not None:
-        known = existing.select(*spec.key).distinct().withColumn("_known", F.lit(True))
-        rows = rows.join(known, spec.key, "left").withColumn("reasons", _also(F.col("_known"), "already_stored"))
+        rows = already_stored(spec, rows, existing)
     return Insert(rows.select(*spec.schema.fieldNames(), "reasons"))
 
 
+def already_stored(spec: TableSpec, judged: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows without a reason yet whose key is stored get one."""
+    known = existing.select(*spec.key).distinct().withColumn("_known", F.lit(True))
+    rows = judged.join(known, spec.key, "left").withColumn("reasons", _also(F.col("_known"), "already_stored"))
+    return rows.select(*judged.columns)
+
+
 def _also(condition: Column, reason: str) -> Column:
     """``reasons`` of a row, or ``reason`` if it has none and meets the condition."""
     return F.when((F.size("reasons") == 0) & condition, F.array(F.lit(reason))).otherwise(F.col("reasons"))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean as c, vocab
-from ..operators.combat import correct_batches, prepare
+from ..operators.combat import batch_shift, correct_batches, prepare
 from ..operators.liftover import lift_summary, lift_variants
 from ..sources.chain import read_chain
+from ..session import staged
 from ..sources.delimited import empty_source, exists, preferred, read_biotab, read_table
+from ..sources.files import fingerprint
 from ..sources.matrix import Matrix, read_matrix
 from . import clinical, genomics
 from .report import database_summary
@@ -174,7 +179,8 @@ def run_combat(store: Store, src: Sources, min_samples: int = 10, dry_run: bool
                log2p1: bool = False) -> DataFrame | None:
     """Corrected values of the genes both expression matrices share, as stored.
 
-    None when a matrix, a shared gene, a matched sample or a covered gene is missing.
+    None when a matrix, a shared gene, a matched sample or a covered gene is missing. Leaves
+    shift_before and shift_after, the difference of the batch means, in ``store.figures``.
     """
     both = _cohort_matrices(store.spark, src.exome_expression, src.panel_expression, "Hugo_Symbol")
     if any(m is None for _, m, _ in both):
@@ -184,7 +190,11 @@ def run_combat(store: Store, src: Sources, min_samples: int = 10, dry_run: bool
     prepared = prepare(cells, min_samples) if cells is not None else None
     if prepared is None:
         return None
-    result = correct_batches(prepared).select(
+    cells = staged(correct_batches(prepared))
+    # The difference of the batches before and after, if there are two.
+    if shift := batch_shift(cells).head():
+        store.figures |= shift.asDict()
+    result = cells.select(
         F.col("sample").alias("tumor_id"), F.col("feature").alias("gene_symbol"),
         F.round("corrected", 6).alias("expression_combat"),
     ).where(~F.isnan("expression_combat"))
@@ -203,13 +213,44 @@ def run_combat(store: Store, src: Sources, min_samples: int = 10, dry_run: bool
     return store.read("gene_expression_combat")
 
 
+@dataclass(frozen=True)
+class Step:
+    """A part of a run that is stored whole or not at all, and the fields of Sources that it reads."""
+
+    name: str
+    run: Callable[[Store, Sources, str], object]
+    inputs: tuple[str, ...] = ()
+
+
+STEPS = [
+    Step("create", lambda store, src, on_orphan: store.create()),
+    Step("clinical", load_clinical, (
+        "curated_records", "clinical_supplement", "subtypes", "biotab_patients", "drugs", "biotab_drugs", "radiation",
+        "panel_patients", "panel_samples")),
+    Step("mutations", lambda store, src, on_orphan: load_mutations(store, src), ("exome_mutations", "panel_mutations")),
+    Step("copy_number", lambda store, src, on_orphan: load_copy_number(store, src), ("exome_copy_number", "panel_copy_number")),
+    Step("liftover", lambda store, src, on_orphan: exists(store.spark, src.chain) and liftover_mutations(store, src.chain), ("chain",)),
+    Step("combat", lambda store, src, on_orphan: run_combat(store, src), ("exome_expression", "panel_expression")),
+]
+
+
 def run_all(store: Store, src: Sources, on_orphan: str = "raise") -> DataFrame:
-    """Clinical, mutations, copy number, liftover, ComBat, summary."""
-    store.create()
-    load_clinical(store, src, on_orphan)
-    load_mutations(store, src)
-    load_copy_number(store, src)
-    if exists(store.spark, src.chain):
-        liftover_mutations(store, src.chain)
-    run_combat(store, src)
-    return database_summary({name: store.read(name) for name in TABLES})
+    """Clinical, mutations, copy number, liftover, ComBat, summary.
+
+    The rows and audit rows of a step, and the note that it is done, appear in one snapshot. So a
+    run that broke off goes on after its last finished step when it is called again, and stores
+    what it would have stored at once. A step whose files have changed since, or that follows
+    such a step, is run again. After the last step the notes are cleared: another run loads anew.
+    """
+    before = on_orphan
+    for step in STEPS:
+        files_read = [fingerprint(store.spark, getattr(src, name)) for name in step.inputs]
+        # What a step has read includes what the steps before it read.
+        before = hashlib.sha256(json.dumps([before, files_read]).encode()).hexdigest()
+        if store.finished(step.name) != before:
+            with store.transaction():
+                step.run(store, src, on_orphan)
+                store.finish(step.name, before)
+    store.finish_run()
+    sizes = {name: store.count(name) for name in TABLES}
+    return database_summary({name: store.read(name) for name in TABLES}, sizes)

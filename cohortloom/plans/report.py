@@ -52,18 +52,24 @@ def condition_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFra
     return df.agg(total.alias("n_total"), *cells)
 
 
-def database_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """V5: (section, value, n_rows) - table sizes and the four breakdowns."""
+def database_summary(tables: Mapping[str, DataFrame], sizes: Mapping[str, int] | None = None) -> DataFrame:
+    """V5: (section, value, n_rows) - table sizes and the four breakdowns. Tables whose
+    size is known from ``sizes`` are read for their breakdowns only."""
+    sizes = sizes or {}
     parts = []
     for name, df in tables.items():
         # Grouped once by all its breakdowns; each combination then counts in every section.
         wanted = [(label, column) for label, table, column in BREAKDOWNS if table == name]
+        if name in sizes and not wanted:
+            continue
         combos = df.groupBy(*[null_label(F.col(c).cast("string")).alias(c) for _, c in wanted]).agg(
             F.count("*").alias("n_rows"))
-        facts = [F.struct(F.lit("Rows").alias("section"), F.lit(name).alias("value"))]
-        facts += [F.struct(F.lit(label).alias("section"), F.col(c).alias("value")) for label, c in wanted]
+        facts = [F.struct(F.lit(label).alias("section"), F.col(c).alias("value")) for label, c in wanted]
+        if name not in sizes:
+            facts.append(F.struct(F.lit("Rows").alias("section"), F.lit(name).alias("value")))
         parts.append(combos.select(F.explode(F.array(*facts)).alias("_fact"), "n_rows").select("_fact.*", "n_rows"))
     # An empty table has no combination, yet its size is listed.
     spark = next(iter(tables.values())).sparkSession
-    parts.append(spark.createDataFrame([("Rows", name, 0) for name in tables], "section string, value string, n_rows long"))
+    listed = [("Rows", name, sizes.get(name, 0)) for name in tables]
+    parts.append(spark.createDataFrame(listed, "section string, value string, n_rows long"))
     return reduce(DataFrame.unionByName, parts).groupBy("section", "value").agg(F.sum("n_rows").alias("n_rows"))

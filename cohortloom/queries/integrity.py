@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from functools import reduce
 
-from ..operators import quality as q
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..operators import cascade as walk, key_index, quality as q
 from ..operators.dedupe import sequential_numbers
 from ..plans.schema import SEED_LOG
 from ..plans.store import LOG_FIELDS, audit_rows, number_audit_rows
@@ -158,6 +160,80 @@ def cascade(t):
     return q.cascade_delete(t.orders.select("o_orderkey", "o_custkey"), ORDERS.foreign_keys[0], deleted)
 
 
+CUSTOMERS = q.TableSpec("customer", T.StructType([T.StructField("c_custkey", T.LongType())]), key=["c_custkey"])
+LINES_OF_ORDERS = q.TableSpec(
+    "lineitem", LINES.schema, key=LINES.key, foreign_keys=[
+        q.ForeignKey("l_orderkey", "orders", "o_orderkey"), q.ForeignKey("l_suppkey", "supplier", "s_suppkey")])
+SUPPLIERS = q.TableSpec(
+    "supplier", T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_nationkey", T.IntegerType())]),
+    key=["s_suppkey"], foreign_keys=[q.ForeignKey("s_nationkey", "nation", "n_nationkey")])
+NATIONS = q.TableSpec("nation", T.StructType([T.StructField("n_nationkey", T.IntegerType())]), key=["n_nationkey"])
+BUYERS = q.TableSpec("customer", CUSTOMERS.schema, key=["c_custkey"], foreign_keys=[
+    q.ForeignKey("c_nationkey", "nation", "n_nationkey")])
+# Children are listed before their parents: the walk finds the order.
+CHAIN = [LINES_OF_ORDERS, ORDERS, CUSTOMERS]
+DIAMOND = [LINES_OF_ORDERS, ORDERS, BUYERS, SUPPLIERS, NATIONS]
+
+
+def _listed(tables: dict, keys: dict[str, list[str]]):
+    """(table_name, k1, k2): the keys of the rows of several tables."""
+    parts = [tables[name].select(F.lit(name).alias("table_name"), F.col(cols[0]).cast("bigint").alias("k1"),
+                                 (F.col(cols[1]) if len(cols) > 1 else F.lit(None)).cast("bigint").alias("k2"))
+             for name, cols in keys.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("q_k5_chain", """
+    WITH c AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'),
+    o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c))
+    SELECT 'customer' AS table_name, CAST(c_custkey AS BIGINT) AS k1, CAST(NULL AS BIGINT) AS k2 FROM customer
+    WHERE c_custkey NOT IN (SELECT c_custkey FROM c)
+    UNION ALL SELECT 'orders', o_orderkey, NULL FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o)
+    UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o)""")
+def cascade_chain(t):
+    """Customers of a segment go, with their orders and the lines of these."""
+    tables = {"customer": t.customer, "orders": t.orders, "lineitem": t.lineitem}
+    kept = walk.surviving_rows(tables, CHAIN, "customer", t.customer.where(F.col("c_mktsegment") == "MACHINERY"))
+    return _listed(kept, {"customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": LINES.key})
+
+
+@query("q_k5_diamond", """
+    WITH n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 2),
+    c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM n)),
+    s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n)),
+    o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c))
+    SELECT 'nation' AS table_name, CAST(n_nationkey AS BIGINT) AS k1, CAST(NULL AS BIGINT) AS k2 FROM n
+    UNION ALL SELECT 'customer', c_custkey, NULL FROM c
+    UNION ALL SELECT 'supplier', s_suppkey, NULL FROM s
+    UNION ALL SELECT 'orders', o_orderkey, NULL FROM o
+    UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM o) OR l_suppkey IN (SELECT s_suppkey FROM s)""")
+def cascade_diamond(t):
+    """The nations of a region go; a line goes with its order or with its supplier, once."""
+    tables = {n: getattr(t, n) for n in ("nation", "customer", "supplier", "orders", "lineitem")}
+    gone = walk.doomed_rows(tables, DIAMOND, "nation", t.nation.where(F.col("n_regionkey") == 2))
+    return _listed(gone, {"nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+                          "orders": ["o_orderkey"], "lineitem": LINES.key})
+
+
+_LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@query("q_s1_ranges", """
+    WITH f AS (SELECT l_orderkey // 1000 AS file, min((l_orderkey, l_linenumber)) AS low, max((l_orderkey, l_linenumber)) AS high,
+                      count(*) AS n_keys FROM lineitem GROUP BY 1),
+    b AS (SELECT min((l_orderkey, l_linenumber)) AS low, max((l_orderkey, l_linenumber)) AS high FROM lineitem
+          WHERE l_tax = 0 AND l_quantity >= 49 AND l_discount >= 0.1)
+    SELECT CAST(f.file AS VARCHAR) AS file, f.n_keys, CAST(f.low[1] AS BIGINT) AS low_order, CAST(f.high[1] AS BIGINT) AS high_order
+    FROM f, b WHERE f.high >= b.low AND f.low <= b.high""")
+def key_ranges(t):
+    """Thousands of order numbers stand in for files: those that overlap the keys of a batch of large lines."""
+    rows = t.lineitem.select(F.floor(F.col("l_orderkey") / 1000).cast("string").alias("file"), *_LINE_KEYS)
+    batch = t.lineitem.where("l_tax = 0 AND l_quantity >= 49 AND l_discount >= 0.1").select(*_LINE_KEYS)
+    found = key_index.in_range(key_index.file_ranges(rows, _LINE_KEYS), batch, _LINE_KEYS)
+    return found.select("file", "n_keys", F.col("low.l_orderkey").alias("low_order"), F.col("high.l_orderkey").alias("high_order"))
+
+
 @query("q_k6", """
     SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, 'GRCh38' AS reference_genome FROM orders""")
 def defaults(t):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from .files import exists
+
 # Line order of a file scan. The running id alone follows task packing, so file
 # and split offset come first.
 LINE_ORDER = ["_file", "_block", "_line"]
@@ -16,15 +18,6 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
-def exists(spark: SparkSession, path: str | None) -> bool:
-    """Is the source there, on whatever file system the path names?"""
-    if path is None:
-        return False
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def preferred(spark: SparkSession, *paths: str | None) -> str | None:
     """First path that exists."""
     return next((p for p in paths if exists(spark, p)), None)

@@ -353,6 +353,7 @@ def test_combat_from_files(loaded, src, write):
     dry = jobs.run_combat(loaded, src, min_samples=4, dry_run=True)
     assert dry.count() == x.size and loaded.count("gene_expression_combat") == 0
     got = jobs.run_combat(loaded, src, min_samples=4)
+    assert loaded.figures["shift_after"] < loaded.figures["shift_before"] / 10
     assert got.count() == x.size
     for tumor, gene, value in rows(got):
         assert abs(value - want[int(gene[1:]), samples.index(tumor)]) < 2e-6
@@ -395,3 +396,69 @@ def test_run_all(store, src, write):
     assert rows(views.treatment_summary(store.read("treatments"))) == [
         ("MB-1", 1, 0, 0, 0, 0), ("MB-2", 0, 1, 1, 0, 0), ("TCGA-A-1", 1, 0, 0, 1, 0),
         ("TCGA-A-2", 0, 0, 1, 0, 1), ("TCGA-A-5", 0, 0, 0, 1, 0)]
+
+
+def test_a_broken_run_goes_on_after_its_last_step(spark, tmp_path, src, write, monkeypatch):
+    """Every step fails once at its end, with all of it written. The rows and audit rows are
+    those of a run without a failure, and no finished step runs again."""
+    small = jobs.Sources(panel_patients=src.panel_patients, panel_samples=src.panel_samples,
+                         panel_mutations=src.panel_mutations, chain=src.chain)
+    whole, broken = Store(spark, str(tmp_path / "whole")), Store(spark, str(tmp_path / "broken"))
+    want = rows(jobs.run_all(whole, small))
+    ran, failed = [], set()
+
+    def failing(step):
+        def run(store, sources, on_orphan):
+            ran.append(step.name)
+            step.run(store, sources, on_orphan)
+            if step.name not in failed:
+                failed.add(step.name)
+                raise OSError(step.name)
+        return dataclasses.replace(step, run=run)
+
+    real = jobs.STEPS
+    monkeypatch.setattr(jobs, "STEPS", [failing(s) for s in real])
+    for step in real:
+        with pytest.raises(OSError, match=step.name):
+            jobs.run_all(Store(spark, broken.root), small)
+        assert list(broken.snapshot().steps) == [s.name for s in real[:real.index(step)]]
+    assert rows(jobs.run_all(broken, small)) == want
+    assert ran == [s.name for s in real for _ in range(2)] and broken.snapshot().steps == {}
+    for table in TABLES:
+        names = [c for c in whole.read(table).columns if c not in ("created_at", "updated_at")]
+        assert rows(broken.read(table), *names) == rows(whole.read(table), *names)
+    broken.vacuum()
+    assert rows(broken.read("mutations")) == rows(whole.read("mutations"))
+
+
+def test_steps_with_other_inputs_run_again(spark, tmp_path, write, monkeypatch):
+    """A changed file takes back its step and those after it, not those before."""
+    store, ran = Store(spark, str(tmp_path / "db")), []
+
+    def noted(name, field, fail=False):
+        def run(store, sources, on_orphan):
+            ran.append(name)
+            if fail:
+                raise OSError(name)
+        return jobs.Step(name, run, field)
+
+    monkeypatch.setattr(jobs, "STEPS", [noted("one", ("drugs",)), noted("two", ("chain",)), noted("three", ("radiation",)), noted("four", (), True)])
+    src = jobs.Sources(drugs=write("a.txt", "1"), chain=write("b.txt", "1"), radiation=write("c.txt", "1"))
+    for change, want in [(None, "one two three four"), (None, "four"), ("b.txt", "two three four"), ("c.txt", "three four"), (None, "four")]:
+        if change:
+            write(change, "changed " + change * len(ran))
+        ran.clear()
+        with pytest.raises(OSError):
+            jobs.run_all(store, src)
+        assert " ".join(ran) == want
+
+
+def test_sizes_of_plain_tables_are_not_scanned(spark, store, write):
+    """The summary of a run reads patients, tumors and mutations for their breakdowns, no other table."""
+    store.append("copy_number", spark.createDataFrame([("T", "G", 1)], "tumor_id string, gene_symbol string, gistic_value int"))
+    store.append("patients", spark.createDataFrame([("P", "METABRIC"), ("Q", "METABRIC")], "patient_id string, study_source string"))
+    from cohortloom.plans.report import database_summary
+    tables = {name: store.read(name) for name in TABLES}
+    summary = database_summary(tables, {name: store.count(name) for name in TABLES})
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and rows(summary) == rows(database_summary(tables))
