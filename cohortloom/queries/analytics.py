@@ -317,6 +317,8 @@ def lift_counts(t):
 # ---- batch correction ----
 
 MIN_SAMPLES = 5
+#: SQL steps on to the limit that the engine solves for; so many are not needed.
+SQL_STEPS = 20_000
 _PREPARED = f"""{_CELLS},
     cover AS (SELECT feature FROM cells GROUP BY feature HAVING count(value) >= {MIN_SAMPLES}),
     kept AS (SELECT sample, batch FROM cells JOIN cover USING (feature) GROUP BY sample, batch
@@ -335,18 +337,19 @@ _COMBAT = f"""
               FROM (SELECT batch, avg(gamma) AS gamma_bar, var_samp(gamma) AS tau2, avg(delta) AS m, var_samp(delta) AS s2
                     FROM est GROUP BY batch)),
     steps AS (
-        SELECT feature, batch, 0 AS i, gamma AS g, delta AS d FROM est
+        SELECT feature, batch, 0 AS i, gamma AS g, delta AS d, NULL::DOUBLE AS before FROM est
         UNION ALL
         SELECT feature, batch, i + 1, g_new,
-               (0.5 * (m2 / (sigma * sigma) + n * (gamma - g_new) * (gamma - g_new)) + b) / (n / 2 + a - 1)
-        FROM (SELECT s.feature, s.batch, s.i, e.n, e.m2, e.sigma, e.gamma, p.a, p.b,
+               (0.5 * (m2 / (sigma * sigma) + n * (gamma - g_new) * (gamma - g_new)) + b) / (n / 2 + a - 1), d
+        FROM (SELECT s.feature, s.batch, s.i, s.d, e.n, e.m2, e.sigma, e.gamma, p.a, p.b,
                      (e.n * p.tau2 * e.gamma + s.d * p.gamma_bar) / (e.n * p.tau2 + s.d) AS g_new
               FROM steps s JOIN est e ON s.feature = e.feature AND s.batch = e.batch JOIN prior p ON p.batch = s.batch
-              WHERE s.i < {combat.ITERATIONS})),
+              WHERE s.i < {combat.ITERATIONS} OR (abs(s.d - s.before) > {combat.SETTLED} * s.d AND s.i < {SQL_STEPS}))),
+    ends AS (SELECT feature, batch, arg_max(g, i) AS g, arg_max(d, i) AS d FROM steps GROUP BY ALL),
     corrected AS (SELECT f.feature, f.sample, f.batch, f.value,
                          sigma / sqrt(d) * ((f.value - alpha) / sigma - g) + alpha AS corrected
                   FROM filled f JOIN est e ON f.feature = e.feature AND f.batch = e.batch
-                       JOIN steps s ON s.feature = f.feature AND s.batch = f.batch AND s.i = {combat.ITERATIONS})"""
+                       JOIN ends s ON s.feature = f.feature AND s.batch = f.batch)"""
 
 
 def _prepared(t):

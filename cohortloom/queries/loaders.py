@@ -11,7 +11,7 @@ from ..functions import vocab
 from ..operators.quality import insert_ignore
 from ..plans import clinical, genomics
 from ..plans.schema import PATIENTS, TUMORS
-from .registry import query, sql_list, sql_map, sql_pick
+from .registry import query, sql_content_id, sql_list, sql_map, sql_pick
 from .scalars import _OS, _RECEPTOR_SQL, _STATES
 
 STAMPS = ["created_at", "updated_at"]
@@ -344,8 +344,8 @@ _DRUG_KIND = sql_map("(CASE WHEN therapy_type <> '' THEN therapy_type ELSE pharm
 
 @query("q_p3", f"""
     WITH {_EXOME_ROWS}, ids AS (SELECT DISTINCT patient_id FROM full_rows),
-    drugs AS ({sql_bronze("events", DRUGS, "event_id", "event_type = 'click'")}),
-    rad AS ({sql_bronze("events", DRUGS, "event_id", "event_type = 'view'")}),
+    drugs AS ({sql_bronze("events", DRUGS, "event_id", "event_type IN ('click', 'signup', 'purchase')")}),
+    rad AS ({sql_bronze("events", DRUGS, "event_id", "event_type IN ('view', 'error')")}),
     merged AS (
         SELECT 1 AS src, line, bcr_patient_barcode AS patient_id, {_DRUG_KIND} AS kind,
                {sql_clean("(CASE WHEN drug_name <> '' THEN drug_name ELSE pharmaceutical_therapy_drug_name END)")} AS name FROM drugs
@@ -355,8 +355,8 @@ _DRUG_KIND = sql_map("(CASE WHEN therapy_type <> '' THEN therapy_type ELSE pharm
            kind AS treatment_type, name AS treatment_name, 1 AS received
     FROM merged WHERE patient_id IN (SELECT patient_id FROM ids)""")
 def exome_treatments(t):
-    drugs = bronze(t.events.where("event_type = 'click'"), DRUGS, "event_id")
-    radiation = bronze(t.events.where("event_type = 'view'"), DRUGS, "event_id")
+    drugs = bronze(t.events.where("event_type IN ('click', 'signup', 'purchase')"), DRUGS, "event_id")
+    radiation = bronze(t.events.where("event_type IN ('view', 'error')"), DRUGS, "event_id")
     return clinical.exome_treatments(_curated(t).patients, drugs, radiation, _supplement(t))
 
 
@@ -381,30 +381,40 @@ _VARIANT_SQL = f"""
     coalesce({sql_clean("HGVSp_Short")}, {sql_clean("HGVSp")}) AS hgvsp"""
 
 
+def sql_with_ids(rows: str, prefix: str) -> str:
+    """SQL text: rows of variants with their ids, of which copies are numbered."""
+    key = ["vaf_text" if x == "vaf" else x for x in genomics.CONTENT]
+    return f"""
+    rows AS ({rows}),
+    texts AS (SELECT *, CASE WHEN isinf(vaf) THEN 'Infinity' ELSE CAST(vaf AS VARCHAR) END AS vaf_text FROM rows),
+    copies AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(key)}) AS n FROM texts)
+    SELECT {sql_content_id(prefix, key, "n")} AS mutation_id, * EXCLUDE (n, vaf_text) REPLACE (round(vaf, 4) AS vaf) FROM copies"""
+
+
 @query("q_p6", f"""
     WITH v AS ({sql_bronze("lineitem", {**VARIANTS, "SAMPLE_ID": "l_orderkey"}, "l_orderkey").replace("l_orderkey AS line", "l_orderkey, l_linenumber, l_partkey, l_suppkey")}),
-    panel AS (SELECT DISTINCT Hugo_Symbol FROM v WHERE t_alt_count = '0' AND Chromosome = '1' AND Hugo_Symbol IS NOT NULL)
-    SELECT 'TCGA-X-' || l_orderkey || '-01' AS tumor_id, {_VARIANT_SQL}, 'GRCh38' AS reference_genome, 'WES' AS sequencing_scope,
+    panel AS (SELECT DISTINCT Hugo_Symbol FROM v WHERE t_alt_count = '0' AND Chromosome = '1' AND Hugo_Symbol IS NOT NULL),
+    {sql_with_ids(f"""SELECT 'TCGA-X-' || l_orderkey || '-01' AS tumor_id, {_VARIANT_SQL}, 'GRCh38' AS reference_genome, 'WES' AS sequencing_scope,
            CASE WHEN TRY_CAST(t_depth AS INTEGER) IS NULL OR (t_depth = '0' AND t_alt_count = '0') THEN NULL
-                WHEN t_depth = '0' THEN 'infinity'::DOUBLE ELSE round(t_alt_count::DOUBLE / t_depth::DOUBLE, 4) END AS vaf,
+                WHEN t_depth = '0' THEN 'infinity'::DOUBLE ELSE t_alt_count::DOUBLE / t_depth::DOUBLE END AS vaf,
            CASE WHEN trim(Hugo_Symbol) IN (SELECT Hugo_Symbol FROM panel) THEN 1 ELSE 0 END AS in_metabric_panel
-    FROM v JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P' WHERE {sql_clean("Hugo_Symbol")} IS NOT NULL""")
+    FROM v JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P' WHERE {sql_clean("Hugo_Symbol")} IS NOT NULL""", "TCGA-MUT-")}""")
 def exome_variants(t):
     source = bronze(t.lineitem, {**VARIANTS, "Tumor_Sample_Barcode": "concat('TCGA-X-', l_orderkey, '-01A-11')"}, "l_orderkey")
     tumors = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("TCGA-X-"), "o_orderkey", F.lit("-01")).alias("tumor_id"))
     panel = genomics.panel_genes(source.where("t_alt_count = '0' AND Chromosome = '1'"), t.spark)
     rows = genomics.exome_variants(source, tumors, panel)
-    return rows.drop("mutation_id").withColumn("vaf", F.round("vaf", 4))
+    return rows.withColumn("vaf", F.round("vaf", 4))
 
 
 @query("q_p7", f"""
-    WITH v AS ({sql_bronze("lineitem", {**VARIANTS, "barcode": "CASE WHEN l_tax = 0 THEN 'NA' ELSE concat(' MB-', l_orderkey, ' ') END"}, "l_orderkey")})
-    SELECT trim(barcode) AS tumor_id, {_VARIANT_SQL}, 'GRCh37' AS reference_genome, 'PANEL' AS sequencing_scope,
+    WITH v AS ({sql_bronze("lineitem", {**VARIANTS, "barcode": "CASE WHEN l_tax = 0 THEN 'NA' ELSE concat(' MB-', l_orderkey, ' ') END"}, "l_orderkey")}),
+    {sql_with_ids(f"""SELECT trim(barcode) AS tumor_id, {_VARIANT_SQL}, 'GRCh37' AS reference_genome, 'PANEL' AS sequencing_scope,
            NULL::DOUBLE AS vaf, 1 AS in_metabric_panel
     FROM v JOIN orders ON line = o_orderkey AND o_orderstatus <> 'P' AND barcode <> 'NA'
-    WHERE {sql_clean("Hugo_Symbol")} IS NOT NULL""")
+    WHERE {sql_clean("Hugo_Symbol")} IS NOT NULL""", "MB-MUT-")}""")
 def panel_variants(t):
     barcode = "CASE WHEN l_tax = 0 THEN 'NA' ELSE concat(' MB-', l_orderkey, ' ') END"
     source = bronze(t.lineitem, {**VARIANTS, "Tumor_Sample_Barcode": barcode}, "l_orderkey")
     tumors = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("MB-"), "o_orderkey").alias("tumor_id"))
-    return genomics.panel_variants(source, tumors).drop("mutation_id")
+    return genomics.panel_variants(source, tumors)

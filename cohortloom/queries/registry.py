@@ -54,3 +54,12 @@ def sql_map(column: str, mapping: dict, default: str = "NULL") -> str:
     """SQL text: a vocabulary lookup."""
     cases = " ".join(f"WHEN {sql_list([k])} THEN {sql_list([v])}" for k, v in mapping.items())
     return f"CASE {column} {cases} ELSE {default} END"
+
+
+def sql_content_id(prefix: str, columns: list[str], copy: str) -> str:
+    """SQL text: the id of a row by its content and the number of its copy (E5)."""
+    def part(x: str) -> str:
+        return f"coalesce(length(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), 'null')"
+
+    joined = " || chr(31) || ".join(map(part, [*columns, copy]))
+    return f"'{prefix}' || substr(sha256({joined}), 1, 32)"

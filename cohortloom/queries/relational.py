@@ -8,7 +8,7 @@ from ..functions import clean as c, vocab
 from ..operators import dedupe, lookup
 from ..plans import report
 from ..sources.delimited import col_or_null, drop_leading_rows, empty_table, rename_headers
-from .registry import query, sql_list, sql_pick
+from .registry import query, sql_content_id, sql_list, sql_pick
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -230,14 +230,17 @@ def numbered(t):
     return dedupe.sequential_ids(events, "treatment_id", "TX-", ["ts", "event_id"]).drop("ts")
 
 
-@query("q_e5", """
-    SELECT l_orderkey, l_linenumber, 'MUT-' || substr(sha256(
-           length(l_orderkey::VARCHAR) || ':' || l_orderkey || chr(31) || length(l_linenumber::VARCHAR) || ':' || l_linenumber || chr(31) ||
-           length(n::VARCHAR) || ':' || n), 1, 32) AS mutation_id
-    FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)""")
+_THIRD = "CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' ELSE l_returnflag END"
+
+
+@query("q_e5", f"""
+    WITH k AS (SELECT l_orderkey, l_linenumber, {_THIRD} AS flag FROM lineitem),
+    c AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, flag) AS n FROM k)
+    SELECT l_orderkey, l_linenumber, flag, {sql_content_id("MUT-", ["l_orderkey", "l_linenumber", "flag"], "n")} AS mutation_id FROM c""")
 def hashed(t):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber")
-    return dedupe.content_ids(lines, "mutation_id", "MUT-", ["l_orderkey", "l_linenumber"])
+    """Null and empty values in the key, and copies."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.expr(_THIRD).alias("flag"))
+    return dedupe.content_ids(lines, "mutation_id", "MUT-", ["l_orderkey", "l_linenumber", "flag"])
 
 
 # ---- counts ----
@@ -297,17 +300,17 @@ _RAW_TYPE = sql_pick(["Chemotherapy", "Targeted Molecular therapy", "Ancillary",
            format('TX-{{:06d}}', row_number() OVER (ORDER BY src, ts, event_id)) AS treatment_id FROM (
       SELECT 1 AS src, event_id, user_id, ts, CASE {_RAW_TYPE} WHEN 'Chemotherapy' THEN 'Chemotherapy'
              WHEN 'Targeted Molecular therapy' THEN 'Targeted Therapy' ELSE 'Other' END AS kind
-      FROM events WHERE event_type = 'click'
-      UNION ALL SELECT 2, event_id, user_id, ts, 'Radiation' FROM events WHERE event_type = 'view'
+      FROM events WHERE event_type IN ('click', 'signup')
+      UNION ALL SELECT 2, event_id, user_id, ts, 'Radiation' FROM events WHERE event_type IN ('view', 'error')
       UNION ALL SELECT 3, event_id, user_id, ts, 'Surgery' FROM events WHERE event_type = 'purchase')""")
 def treatment_union(t):
-    def source(rank, event_type, kind):
-        return t.events.where(F.col("event_type") == event_type).select(
+    def source(rank, event_types, kind):
+        return t.events.where(F.col("event_type").isin(event_types)).select(
             F.lit(rank).alias("src"), "event_id", F.col("user_id").alias("patient_id"), "ts", kind.alias("treatment_type"))
 
     merged = (
-        source(1, "click", c.therapy_type(F.expr(_RAW_TYPE)))
-        .unionByName(source(2, "view", F.lit("Radiation")))
-        .unionByName(source(3, "purchase", F.lit("Surgery")))
+        source(1, ["click", "signup"], c.therapy_type(F.expr(_RAW_TYPE)))
+        .unionByName(source(2, ["view", "error"], F.lit("Radiation")))
+        .unionByName(source(3, ["purchase"], F.lit("Surgery")))
     )
     return dedupe.sequential_ids(merged, "treatment_id", "TX-", ["src", "ts", "event_id"]).drop("src", "ts")
