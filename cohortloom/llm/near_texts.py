@@ -399,13 +399,22 @@ def keep_one_of_each(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
     does, also where its doc_id has another text that goes. Of rows with the same doc_id
     and text one stays; rows with a null id all stay."""
     signed, classes, links = _graph(docs, like)
-    found = signed.where("doc_id is not null").join(_least_rows(classes, links), "digest")
     own = F.struct(F.col("doc_id").alias("rep"), "text_key")
-    gone = staged(found.where(own != F.col("least")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    row_ids = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_key().alias("_key")).where("_id is not null")
-    repeated = staged(row_ids.groupBy("_id", "_key").count().where("count > 1").select("_id", "_key"))
-    on = (F.col("doc_id").cast("bigint") == F.col("_id")) & (text_key() == F.col("_key"))
-    once = docs.join(gone.union(repeated).distinct(), on, "left_anti")
-    more = docs.join(repeated.join(gone, ["_id", "_key"], "left_anti"), on, "left_semi")
-    first = more.withColumn("_key", text_key()).dropDuplicates(["doc_id", "_key"]).drop("_key")
-    return once.unionByName(first)
+    named = signed.where("doc_id is not null")
+    gone = named.join(_least_rows(classes, links), "digest").where(own != F.col("least")).select("doc_id", "text_key").distinct()
+    repeated = named.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    marks = staged(gone.withColumn("goes", F.lit(True)).unionByName(repeated.withColumn("goes", F.lit(False))).groupBy(
+        "doc_id", "text_key").agg(F.max("goes").alias("goes")))
+    # The rows as structs, so that no column of theirs can clash.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"))
+    # Only rows that a filter of fixed size does not rule out are shuffled to their marks.
+    place = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << FILTER_BITS))
+    filter_words = marks.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
+    tested = rows.withColumn("p", place).withColumn("word", F.shiftright("p", 6)).join(F.broadcast(filter_words), "word", "left")
+    hit = F.col("doc_id").isNotNull() & F.coalesce(F.expr("(shiftright(bits, cast(p % 64 as int)) & 1) = 1"), F.lit(False))
+    marked = tested.where(hit).select("row", "doc_id", "text_key").join(marks, ["doc_id", "text_key"], "left")
+    first = marked.where("goes = false").dropDuplicates(["doc_id", "text_key"])
+    return tested.where(~hit).select("row").union(marked.where("goes is null").select("row")).union(
+        first.select("row")).select("row.*")

@@ -250,3 +250,18 @@ def test_vector_query(spark):
     df = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.select("vec_id", "embedding", "label").collect()]
     assert vector_result(queries.QUERIES["op3_near_vectors"](spark, FOLDER)) == brute_vectors(rows, 0.98)
+
+
+def test_columns_of_any_name_stay(spark):
+    """Names that the stage might use itself, dots among them; hash places past the sign bit."""
+    copy = "one two three four five six seven eight nine ten"
+    rows = [(i, f"{copy} {'eleven' if i % 2 else 'number ' + str(i)}", i) for i in range(200)] + [(7, f"{copy} eleven", 7), (None, copy, -1)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n int")
+    names = ["_id", "_key", "row", "p", "word", "bits", "goes", "text_key", "rep", "a.b"]
+    wide = docs.select("*", *(docs["n"].alias(c) for c in names))
+    kept = near_texts.keep_one_of_each(wide, near_texts.Similarity(width=5, percent=80))
+    assert kept.columns == wide.columns
+    want = {r["doc_id"] for r in near_texts.near_duplicates(docs, near_texts.Similarity(5, 80)).where("kept").collect()}
+    got = [tuple(r) for r in kept.collect()]
+    assert {r[0] for r in got} == want and None in want and len(got) == len(want) == 102
+    assert all(set(r[3:]) == {r[2]} for r in got)
