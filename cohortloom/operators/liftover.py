@@ -86,8 +86,10 @@ def with_prefix(chrom: Column) -> Column:
 
 
 def lift_position(df: DataFrame, pieces: DataFrame, chrom: str, position: str, to_chrom: str,
-                  to_position: str, bin_bits: int = BIN_BITS, prefixed: bool = True) -> DataFrame:
-    """Lift a 1-based position; unmapped gives nulls."""
+                  to_position: str, bin_bits: int = BIN_BITS, prefixed: bool = True,
+                  to_step: str | None = None) -> DataFrame:
+    """Lift a 1-based position; unmapped gives nulls (H28, H29). ``to_step`` names a column for
+    the direction of the chain: 1, or -1 where it runs along the other strand."""
     name = with_prefix(F.col(chrom)) if prefixed else F.col(chrom)
     pos0 = F.col(position) - 1
     hit = (
@@ -100,16 +102,54 @@ def lift_position(df: DataFrame, pieces: DataFrame, chrom: str, position: str, t
         F.replace(F.col("q_chrom"), F.lit("chr"), F.lit("")).alias(to_chrom),
         F.col("origin").alias("_origin"), F.col("step").alias("_step"),
     )
+    step = {to_step: F.col("_step")} if to_step else {}
     return (
         df.withColumns({"_chrom": name, "_bin": F.shiftright(pos0, bin_bits), "_pos0": pos0})
         .join(table, hit, "left")
-        .withColumn(to_position, F.col("_origin") + F.col("_step") * F.col("_pos0") + 1)
+        .withColumns({to_position: F.col("_origin") + F.col("_step") * F.col("_pos0") + 1} | step)
         .drop("_chrom", "_bin", "_pos0", "_t_chrom", "_t_bin", "_p_start", "_p_end", "_origin", "_step")
     )
 
 
+_BASES = "ACGTUMRWSYKVHDBNacgtumrwsykvhdbn"
+_PAIRS = "TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn"
+
+
+def reverse_complement(allele: Column) -> Column:
+    """The bases of the other strand, read the other way; "-" stays."""
+    return F.reverse(F.translate(allele, _BASES, _PAIRS))
+
+
+def on_other_strand(start: Column, end: Column, ref: Column, alt: Column) -> dict[str, Column]:
+    """A variant whose lifted positions run backwards, as it is read along the target: ``start``
+    is where its first base went, ``end`` its last.
+
+    Positions change places and alleles are reverse-complemented. An allele that begins with the base before the
+    change ("A" to "AT") would now end with it. That base is left out, and the change is given as "-" between or
+    in place of the bases proper. A missing end stays missing.
+    """
+    anchored = (
+        (F.length(ref) != F.length(alt)) & (F.least(F.length(ref), F.length(alt)) == 1)
+        & (F.substring(ref, 1, 1) == F.substring(alt, 1, 1)) & (ref != "-"))
+    added = anchored & (F.length(ref) == 1)
+    removed = anchored & (F.length(alt) == 1)
+
+    def turned(allele: Column) -> Column:
+        rest = F.substring(allele, 2, 1 << 30)
+        return F.when(anchored, F.when(F.length(allele) == 1, "-").otherwise(reverse_complement(rest))).otherwise(
+            reverse_complement(allele))
+
+    return {
+        "start_position": F.when(added, start - 1).otherwise(F.coalesce(end, start)),
+        "end_position": F.when(added, start).when(removed & end.isNotNull(), start - 1).when(end.isNotNull(), start),
+        "reference_allele": turned(ref),
+        "variant_allele": turned(alt),
+    }
+
+
 def lift_variants(variants: DataFrame, blocks: DataFrame, bin_bits: int = BIN_BITS,
-                  prefixed: bool = True, broadcast_pieces: int = BROADCAST_PIECES) -> DataFrame:
+                  prefixed: bool = True, broadcast_pieces: int = BROADCAST_PIECES,
+                  strand_aware: bool = False) -> DataFrame:
     """I4: lift start and end independently and set the build.
 
     Rows are unmapped when the start has no hit or the end lands on another
@@ -117,6 +157,9 @@ def lift_variants(variants: DataFrame, blocks: DataFrame, bin_bits: int = BIN_BI
     leaves a null end. Rows of other builds pass through unchanged.
     ``lift_outcome`` is lifted, unmapped or cross_chromosome, null if not lifted.
 
+    With ``strand_aware``, variants on chains of the other strand are turned (``on_other_strand``),
+    and those whose ends went to different strands are unmapped, with the outcome strand_change.
+
     Up to ``broadcast_pieces`` pieces, no variant is shuffled; beyond, both joins
     shuffle by (chromosome, bin) and hot positions are split.
     """
@@ -124,21 +167,21 @@ def lift_variants(variants: DataFrame, blocks: DataFrame, bin_bits: int = BIN_BI
     is_source = F.col("reference_genome").eqNullSafe(vocab.BUILD_SOURCE)
     pieces = checked_broadcast(best_pieces(blocks, bin_bits), broadcast_pieces)
     started = lift_position(variants.where(is_source), pieces, "chromosome", "start_position",
-                            "_s_chrom", "_s_pos", bin_bits, prefixed)
+                            "_s_chrom", "_s_pos", bin_bits, prefixed, "_s_step")
     ended = lift_position(started, pieces, "chromosome", "end_position",
-                          "_e_chrom", "_e_pos", bin_bits, prefixed)
+                          "_e_chrom", "_e_pos", bin_bits, prefixed, "_e_step")
     # A hit of the end with no hit of the start counts as another chromosome.
     crossed = F.col("_e_chrom").isNotNull() & ~F.col("_e_chrom").eqNullSafe(F.col("_s_chrom"))
-    lifted = F.col("_s_chrom").isNotNull() & ~crossed
-    new = {
-        "chromosome": F.when(lifted, F.col("_s_chrom")).otherwise(F.col("chromosome")),
-        "start_position": F.when(lifted, F.col("_s_pos")).otherwise(F.col("start_position")),
-        "end_position": F.when(lifted, F.col("_e_pos")).otherwise(F.col("end_position")),
-        "reference_genome": F.when(lifted, vocab.BUILD_TARGET).otherwise(vocab.BUILD_UNMAPPED),
-    }
-    outcome = (
-        F.when(crossed, "cross_chromosome").when(lifted, "lifted").otherwise("unmapped")
-    )
+    torn = F.lit(strand_aware) & F.coalesce(F.col("_e_step") != F.col("_s_step"), F.lit(False))
+    lifted = F.col("_s_chrom").isNotNull() & ~crossed & ~torn
+    moved = {"chromosome": F.col("_s_chrom"), "start_position": F.col("_s_pos"), "end_position": F.col("_e_pos")}
+    if strand_aware:
+        turned = on_other_strand(
+            F.col("_s_pos"), F.col("_e_pos"), F.col("reference_allele"), F.col("variant_allele"))
+        moved |= {c: F.when(F.col("_s_step") < 0, v).otherwise(moved.get(c, F.col(c))) for c, v in turned.items()}
+    new = {c: F.when(lifted, v).otherwise(F.col(c)) for c, v in moved.items()}
+    new["reference_genome"] = F.when(lifted, vocab.BUILD_TARGET).otherwise(vocab.BUILD_UNMAPPED)
+    outcome = F.when(crossed, "cross_chromosome").when(torn, "strand_change").when(lifted, "lifted").otherwise("unmapped")
     done = ended.select(
         *[new[c].alias(c) if c in new else F.col(c) for c in columns], outcome.alias("lift_outcome"))
     return done.unionByName(

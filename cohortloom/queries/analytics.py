@@ -314,6 +314,35 @@ def lift_counts(t):
     return liftover.lift_summary(_lifted(t))
 
 
+_ALLELES = [("A", "C"), ("G", "GTC"), ("-", "AAC"), ("TGA", "T"), ("CC", "-"), ("AG", "TN"), ("a", "r"), ("T", None)]
+_ALLELE = {name: sql_pick([pair[k] for pair in _ALLELES], "l_suppkey") for k, name in enumerate(("ref", "alt"))}
+_STRAND_POINTS = f"SELECT *, {_ALLELE['ref']} AS reference_allele, {_ALLELE['alt']} AS variant_allele FROM ({_POINTS})"
+_TURNED = "reverse(translate({}, 'ACGTMRWSYKVHDBNacgtmrwsykvhdbn', 'TGCAKYWSRMBDHVNtgcakywsrmbdhvn'))"
+
+
+@query("q_i4_strand", f"""
+    {_LIFT_SQL.replace(_POINTS, _STRAND_POINTS).replace("AS q_pos,", "AS q_pos, strand,").replace(
+        "e.q_pos AS e_pos,", "e.q_pos AS e_pos, s.strand AS s_strand, e.strand AS e_strand,").replace(
+        "WHEN s.q_chrom IS NOT NULL THEN 'lifted'", "WHEN s.strand <> e.strand THEN 'strand_change' WHEN s.q_chrom IS NOT NULL THEN 'lifted'")},
+    kinds AS (SELECT *, lift_outcome = 'lifted' AND s_strand = '-' AS back,
+                     reference_allele = 'G' AND variant_allele = 'GTC' AS added, reference_allele = 'TGA' AS removed FROM mapped)
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+           CASE WHEN lift_outcome = 'lifted' THEN s_chrom ELSE chromosome END AS chromosome,
+           CASE WHEN back AND added THEN s_pos - 1 WHEN back THEN coalesce(e_pos, s_pos)
+                WHEN lift_outcome = 'lifted' THEN s_pos ELSE start_position END AS start_position,
+           CASE WHEN back AND added THEN s_pos WHEN back AND e_pos IS NULL THEN NULL WHEN back AND removed THEN s_pos - 1
+                WHEN back THEN s_pos WHEN lift_outcome = 'lifted' THEN e_pos ELSE end_position END AS end_position,
+           CASE WHEN back AND added THEN '-' WHEN back AND removed THEN 'TC'
+                WHEN back THEN {_TURNED.format("reference_allele")} ELSE reference_allele END AS reference_allele,
+           CASE WHEN back AND added THEN 'GA' WHEN back AND removed THEN '-'
+                WHEN back THEN {_TURNED.format("variant_allele")} ELSE variant_allele END AS variant_allele,
+           CASE WHEN lift_outcome = 'lifted' THEN 'GRCh38' WHEN lift_outcome IS NOT NULL THEN 'GRCh37_UNMAPPED'
+                ELSE reference_genome END AS reference_genome, lift_outcome FROM kinds""")
+def lift_by_strand(t):
+    points = _sql(t, _STRAND_POINTS, lineitem=t.lineitem)
+    return liftover.lift_variants(points, _sql(t, _BLOCKS, part=t.part, supplier=t.supplier), strand_aware=True)
+
+
 # ---- batch correction ----
 
 MIN_SAMPLES = 5

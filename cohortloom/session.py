@@ -23,6 +23,10 @@ RUNTIME_CONF = {
 }
 
 
+#: Of local sessions without ``spark.checkpoint.dir``, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
@@ -56,8 +60,11 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="cohortloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # The setting cannot be changed in a session, so the folder is kept here.
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="cohortloom-checkpoint-")
+        folder = _LOCAL_FOLDERS[app]
     return folder
 
 
@@ -70,12 +77,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Like ``checkpointed``, but as a Parquet table: compressed, and read by column.
+def staged(df: DataFrame, max_rows: int = 0) -> DataFrame:
+    """Like ``checkpointed``, but as a Parquet table: compressed, and read by column, in files of
+    ``max_rows`` at most if given.
 
     The tables lie in one folder per application, which can be deleted with it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", max_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..operators.lookup import checked_broadcast
+from ..session import staged
 from .files import exists
 
 # Line order of a file scan. The running id alone follows task packing, so file
 # and split offset come first.
 LINE_ORDER = ["_file", "_block", "_line"]
+#: Lines of a chunk of a compressed file.
+CHUNK_LINES = 1_000_000
 
 
 def pin_splits(spark: SparkSession) -> None:
@@ -24,7 +28,9 @@ def preferred(spark: SparkSession, *paths: str | None) -> str | None:
 
 
 def with_line_order(scan: DataFrame) -> DataFrame:
-    """Tag rows with their place in the source; call directly on a file scan."""
+    """Tag rows with their place in the source; call directly on a file scan, or on lines that were cut out of one."""
+    if set(LINE_ORDER) <= set(scan.columns):
+        return scan
     pin_splits(scan.sparkSession)
     return scan.select(
         "*",
@@ -34,17 +40,51 @@ def with_line_order(scan: DataFrame) -> DataFrame:
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A10: the lines of text files. Compressed ones cannot be split, so they are read in one stream
+    each and written to chunk files of ``CHUNK_LINES`` lines, which many tasks read from then on. Such lines bring
+    their places with them: the file, no block, and the running number of the line."""
+    scan = spark.read.text(path)
+    if not any(f.endswith((".gz", ".bz2")) for f in scan.inputFiles()):
+        return scan
+    lines = scan.select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.lit(0).cast("bigint").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"))
+    return staged(lines, max_rows=CHUNK_LINES)
+
+
 def read_table(spark: SparkSession, path: str, comment: str | None = "#") -> DataFrame:
     """A1/A10: header, tabs, every column a string, empty is null; plain or gzip."""
-    reader = (
-        spark.read.option("sep", "\t").option("header", True)
-        .option("inferSchema", False).option("escape", '"')
-    )
+    options = {"sep": "\t", "escape": '"'}
+    if exists(spark, path) and any(f.endswith((".gz", ".bz2")) for f in spark.read.text(path).inputFiles()):
+        return _read_chunked(spark, path, comment, options)
+    reader = spark.read.options(**options).option("header", True).option("inferSchema", False)
     if comment:
         reader = reader.option("comment", comment)
     return with_line_order(reader.csv(path))
 
 
+def _read_chunked(spark: SparkSession, path: str, comment: str | None, options: dict[str, str]) -> DataFrame:
+    """``read_table`` on chunks of lines, with the same rows: each chunk is parsed by its own task."""
+    lines = read_lines(spark, path).where(F.length("value") > 0)
+    if comment:
+        lines = lines.where(~F.col("value").startswith(comment))
+    # The header of each file is its first line; the first file's names the columns.
+    heads = lines.groupBy("_file").agg(F.min("_line").alias("_line"), F.min_by("value", "_line").alias("value"))
+    first = heads.orderBy("_file").select("value").head()
+    if first is None:
+        return empty_source(spark, [])
+    names = spark.read.options(**options).option("header", True).csv(
+        spark.sparkContext.parallelize([first[0]], 1)).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = lines.join(checked_broadcast(heads.select("_file", "_line")), ["_file", "_line"], "left_anti")
+    return rows.select(F.from_csv("value", _ddl(schema), options).alias("_row"), *LINE_ORDER).select("_row.*", *LINE_ORDER)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+
+
 def drop_leading_rows(df: DataFrame, rows: int) -> DataFrame:
     """A2: drop the first data rows of every file.
 

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.dedupe import keep_first
+from ..operators.lookup import checked_broadcast
 from ..operators.reshape import settled
-from .delimited import LINE_ORDER, with_line_order
+from .delimited import LINE_ORDER, read_lines, with_line_order
 
 LABEL = "Hugo_Symbol"
 ENTREZ = "Entrez_Gene_Id"
@@ -29,27 +30,74 @@ class Matrix:
 
 
 def read_matrix(spark: SparkSession, path: str, label: str | None = LABEL) -> Matrix:
-    """Read one matrix file. The label column is ``label`` if the header has it,
-    else the first column that is not the Entrez column."""
-    text = with_line_order(spark.read.text(path)).where(
+    """Read a matrix, which may lie in several files with a header each. The label column is
+    ``label`` if a header has it, else the first column that is not the Entrez column.
+
+    Where headers differ, columns are matched by name, the k-th of a name with the k-th, and
+    lines are brought into the order of the first file, followed by the columns of others.
+    A cell of a column that a file does not have is empty.
+    """
+    text = with_line_order(read_lines(spark, path)).where(
         ~F.col("value").startswith("#") & (F.length("value") > 0)
     )
-    # One line: the same amount Spark's own CSV header handling brings to the driver.
-    first = text.where(F.col("_block") == 0).select("value").head(1)
-    names = first[0][0].split("\t") if first else []
-    rest = [n for n in names if n != ENTREZ]
-    label_name = label if label in names else (rest[0] if rest else None)
-    label_pos = names.index(label_name) if label_name else 0
-    samples = [(i, n) for i, n in enumerate(names) if n != ENTREZ and i != label_pos]
-    header = spark.createDataFrame(samples, "pos int, sample string")
-    entrez = _cell(names.index(ENTREZ)) if ENTREZ in names else F.lit(None).cast("string")
-    lines = text.where(F.col("value") != F.lit(first[0][0] if first else "")).select(
+    # One line a file: the same amount Spark's own CSV header handling brings to the driver.
+    heads = _first_lines(text)
+    names = heads[0][1].split("\t") if heads else []
+    layout, places = _layout(names, label), {}
+    order = dict.fromkeys(layout)
+    for _, line in heads:
+        own = _layout(line.split("\t"), label)
+        order |= dict.fromkeys(c for c in own if c not in order)
+        places[line] = own
+    order = list(order)
+    wanted = {line: [own[c] if c in own else -1 for c in order] for line, own in places.items()}
+    # A file that is laid out like the whole needs no new lines.
+    moved = {line: p for line, p in wanted.items() if p != list(range(len(order)))}
+    if not moved:
+        lines = text.where(F.col("value") != F.lit(heads[0][1] if heads else ""))
+    else:
+        files = spark.createDataFrame(
+            [(f, line, moved.get(line)) for f, line in heads], "_file string, _head string, _places array<int>")
+        cells = F.split("value", "\t")
+        laid = F.array_join(F.transform("_places", lambda p: F.when(p >= 0, F.get(cells, p))), "\t", "")
+        lines = text.join(checked_broadcast(files), "_file").where(F.col("value") != F.col("_head")).withColumn(
+            "value", F.when(F.col("_places").isNull(), F.col("value")).otherwise(laid))
+    entrez_pos = order.index(_ENTREZ_COLUMN) if _ENTREZ_COLUMN in order else None
+    label_pos = order.index(_LABEL_COLUMN) if _LABEL_COLUMN in order else 0
+    samples = [(i, c[0]) for i, c in enumerate(order) if c not in (_LABEL_COLUMN, _ENTREZ_COLUMN)]
+    return Matrix(lines.select(
         F.nullif(_cell(label_pos), F.lit("")).alias("label"),
-        entrez.alias("entrez_text"),
+        (F.lit(None).cast("string") if entrez_pos is None else _cell(entrez_pos)).alias("entrez_text"),
         "value",
         *LINE_ORDER,
-    )
-    return Matrix(lines, header)
+    ), spark.createDataFrame(samples, "pos int, sample string"))
+
+
+_LABEL_COLUMN, _ENTREZ_COLUMN = ("label", -1), ("entrez", -1)
+
+
+def _layout(names: list[str], label: str | None) -> dict[tuple[str, int], int]:
+    """Columns of a header with their places; a sample is (name, how many of the name stand before)."""
+    rest = [n for n in names if n != ENTREZ]
+    label_name = label if label in names else (rest[0] if rest else None)
+    at, seen = {}, {}
+    for i, name in enumerate(names):
+        if name == label_name and _LABEL_COLUMN not in at:
+            at[_LABEL_COLUMN] = i
+        elif name == ENTREZ:
+            at.setdefault(_ENTREZ_COLUMN, i)
+        else:
+            seen[name] = seen.get(name, -1) + 1
+            at[name, seen[name]] = i
+    return at
+
+
+def _first_lines(text: DataFrame) -> list[tuple[str, str]]:
+    """(file, first line) of every file that has one, in file order."""
+    if len(text.inputFiles()) <= 1:
+        return [tuple(r) for r in text.where(F.col("_block") == 0).select("_file", "value").head(1)]
+    first = text.where(F.col("_block") == 0).groupBy("_file").agg(F.min_by("value", "_line").alias("value"))
+    return [tuple(r) for r in first.orderBy("_file").collect()]
 
 
 def _cell(pos: int) -> Column:

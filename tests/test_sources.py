@@ -156,3 +156,70 @@ def test_wide_lines_are_linear(spark, write):
     start = time.time()
     assert explode_samples(scored, first_known(), ["label", "mean"]).where("round(mean, 9) = 4.5").count() == 20 * n
     assert time.time() - start < 30
+
+
+def test_a_gzip_file_is_parsed_by_many_tasks(spark, tmp_path, monkeypatch, small_splits):
+    """One stream of a compressed file becomes chunks; the rows and their order are those of the plain file."""
+    body = "".join(f'{i}\t"q ""{i}"" x"\t\tk{i}\textra\n' if i % 9 else f"#note {i}\n\n{i}\t\"\"\n" for i in range(3000))
+    text = f"# top\n\nid\tname\tvoid\tkey\n{body}"
+    plain, packed = tmp_path / "t.tsv", tmp_path / "t.tsv.gz"
+    plain.write_text(text)
+    packed.write_bytes(gzip.compress(text.encode()))
+    monkeypatch.setattr(d, "CHUNK_LINES", 400)
+    want, got = d.read_table(spark, str(plain)), d.read_table(spark, str(packed))
+    assert got.columns == want.columns
+    chunks = got.select(F.spark_partition_id()).distinct().count()
+    assert chunks > 4 and len(got.inputFiles()) > 4
+    names = ["id", "name", "void", "key"]
+    both = [[tuple(r) for r in df.orderBy(*d.LINE_ORDER).select(*names).collect()] for df in (want, got)]
+    assert both[0] == both[1] and len(both[0]) == 3000
+    # Without comments, as the first rows of a biotab file are skipped.
+    plain.write_text("id\tv\njunk\tj\nCDE\tc\n" + "".join(f"#{i}\tv\n" for i in range(900)))
+    packed.write_bytes(gzip.compress(plain.read_bytes()))
+    assert rows(d.read_biotab(spark, str(packed)), "id", "v") == rows(d.read_biotab(spark, str(plain)), "id", "v")
+    packed.write_bytes(gzip.compress(b""))
+    assert d.read_table(spark, str(packed)).count() == 0
+
+
+def test_a_gzip_matrix(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(d, "CHUNK_LINES", 2)
+    path = tmp_path / "m.txt.gz"
+    path.write_bytes(gzip.compress(MATRIX.encode()))
+    m = read_matrix(spark, str(path))
+    assert rows(m.header) == [(2, "S-1"), (3, "S-2"), (4, "S-1")]
+    assert rows(unique_lines(m.lines), "label", "entrez_text") == [("A", "1"), ("B", "2"), ("nan", "6"), (None, "5")]
+
+
+def cells_of(m):
+    texts = F.split("value", "\t")
+    cells = m.lines.crossJoin(m.header).select("label", "entrez_text", "sample", F.get(texts, F.col("pos")).alias("v"))
+    return sorted((r["label"], r["entrez_text"], r["sample"], r["v"]) for r in cells.where("v <> ''").collect())
+
+
+def test_part_files_with_their_own_headers(spark, tmp_path):
+    """Shuffled, missing, additional and repeated columns give the cells of one file."""
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    (parts / "a.txt").write_text("# c\nHugo_Symbol\tEntrez_Gene_Id\tS1\tS2\tS1\nA\t1\ta1\ta2\ta3\n")
+    (parts / "b.txt").write_text("S2\tS1\tS1\tHugo_Symbol\tEntrez_Gene_Id\nb2\tb1\tb3\tB\t2\n")
+    (parts / "c.txt").write_text("Hugo_Symbol\tS9\tS1\nC\tc9\tc1\nD\td9\n")
+    (parts / "d.txt").write_text("Hugo_Symbol\tEntrez_Gene_Id\tS1\tS2\tS1\nE\t5\te1\te2\te3\n")
+    (parts / "e.txt").write_text("# nothing\n")
+    m = read_matrix(spark, str(parts))
+    assert rows(m.header) == [(2, "S1"), (3, "S2"), (4, "S1"), (5, "S9")]
+    assert [tuple(r) for r in m.lines.orderBy(*d.LINE_ORDER).select("label", "entrez_text").collect()] == [
+        ("A", "1"), ("B", "2"), ("C", ""), ("D", ""), ("E", "5")]
+    one = tmp_path / "one.txt"
+    one.write_text("Hugo_Symbol\tEntrez_Gene_Id\tS1\tS2\tS1\tS9\nA\t1\ta1\ta2\ta3\nB\t2\tb1\tb2\tb3\n"
+                   "C\t\tc1\t\t\tc9\nD\t\t\t\t\td9\nE\t5\te1\te2\te3\n")
+    assert cells_of(m) == cells_of(read_matrix(spark, str(one)))
+
+
+def test_part_files_with_one_header_keep_their_lines(spark, tmp_path):
+    parts = tmp_path / "same"
+    parts.mkdir()
+    for k in range(3):
+        (parts / f"{k}.txt").write_text(f"Hugo_Symbol\tS1\nG{k}\t{k}\n")
+    m = read_matrix(spark, str(parts))
+    assert rows(m.lines, "label", "value") == [(f"G{k}", f"G{k}\t{k}") for k in range(3)]
+    assert "Join" not in m.lines._jdf.queryExecution().optimizedPlan().toString()
