@@ -9,6 +9,7 @@ share of hits that texts of the language have; the largest wins.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -44,6 +45,22 @@ class Filters(NamedTuple):
     common: int  # the language with most documents
 
 
+#: Characters of texts that are taken apart at a time; a longer text is taken alone.
+SLICE = 1 << 20
+
+
+def in_slices(texts: list) -> Iterator[slice]:
+    """Runs of texts of about SLICE characters. Their n-grams take some forty times the memory."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text or "") > SLICE:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text or "")
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def letters_of(text: str) -> bytes:
     """Lower-case letters, with one space for all else."""
     return b" " + b" ".join(text.lower().encode().translate(LETTERS_ONLY).split()) + b" "
@@ -94,11 +111,12 @@ def learn(docs: DataFrame, label: Column, sample_docs: int = SAMPLE_DOCS) -> Fil
     def count(batches):
         for batch in batches:
             bits, texts = np.array(batch.column(0), np.int64), batch.column(1).to_pylist()
-            grams, ends = grams_of([letters_of(t) for t in texts])
-            of = np.repeat(bits, np.diff(ends, prepend=0))
-            keys, n = np.unique(of << 32 | grams, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys >> 32, pa.int32()), pa.array(keys & 0xFFFFFFFF), pa.array(n)],
-                                             ["bit", "gram", "n"])
+            for part in in_slices(texts):
+                grams, ends = grams_of([letters_of(t) for t in texts[part]])
+                of = np.repeat(bits[part], np.diff(ends, prepend=0))
+                keys, n = np.unique(of << 32 | grams, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys >> 32, pa.int32()), pa.array(keys & 0xFFFFFFFF), pa.array(n)], ["bit", "gram", "n"])
 
     counts = chosen.select("bit", "text").mapInArrow(count, "bit int, gram bigint, n bigint").groupBy("bit", "gram").agg(
         F.sum("n").alias("n"))
@@ -124,6 +142,11 @@ def learn(docs: DataFrame, label: Column, sample_docs: int = SAMPLE_DOCS) -> Fil
 
 def decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float]]:
     """Language and score of each text: the winner's part of what all languages have."""
+    parts = [_decide(texts[part], filters) for part in in_slices(texts)]
+    return [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
+
+
+def _decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float]]:
     found = [t is not None and bool(filters.languages) and LETTER.search(t) is not None for t in texts]
     known = [letters_of(t) for t, ok in zip(texts, found) if ok]
     if not known:

@@ -81,3 +81,14 @@ def test_without_labels_texts_with_letters_stay(odd_docs):
     unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     kept = language.keep_identified(unlabelled, language.learn(unlabelled, F.col("lang")))
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in odd_docs.collect()} - {7, 5, 20}
+
+
+def test_slices_cover_all_texts(monkeypatch):
+    """Every text is in one slice, in order; a text that is longer than a slice is taken alone."""
+    from cohortloom.llm import language
+
+    monkeypatch.setattr(language, "SLICE", 10)
+    for texts in ([], [None], ["x" * 30], ["abc", None, "x" * 11, "", "abcdef", "abcde", "x" * 99, None]):
+        parts = [texts[part] for part in language.in_slices(texts)]
+        assert [t for part in parts for t in part] == texts
+        assert all(len(part) == 1 or sum(len(t or "") for t in part) <= 10 for part in parts if any(part))
