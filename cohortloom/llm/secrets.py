@@ -52,6 +52,8 @@ class Kind(NamedTuple):
     keywords: tuple[str, ...]  # in lower case
     pattern: re.Pattern
     valid: object  # of the match
+    #: Where the pattern fails, it fails at all later keywords within this as well.
+    stem: re.Pattern | None = None
 
 
 #: In the order in which spans with the same start are listed; hex follows the second.
@@ -64,7 +66,7 @@ KINDS = (
          re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_base62(m[0])),
     Kind("registry", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_base62(m[0])),
     Kind("web_token", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-         lambda m: _signed_header(m[0])),
+         lambda m: _signed_header(m[0]), re.compile(r"eyJ[A-Za-z0-9_-]+")),
 )
 ORDER = {name: i for i, name in enumerate(("assign", "access", "hex", *(k.name for k in KINDS[2:])))}
 BASE = ("assign", "access", "hex")
@@ -116,10 +118,14 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         past = [0] * len(KINDS)
         for start, kind in sorted(hits):
             rule = KINDS[kind]
-            if start >= past[kind] and (m := rule.pattern.match(text, start)):
+            if start < past[kind]:
+                continue
+            if m := rule.pattern.match(text, start):
                 past[kind] = m.end()
                 if rule.valid(m):
                     spans.append((rule.name, m.start(), m.end()))
+            elif rule.stem and (m := rule.stem.match(text, start)):
+                past[kind] = m.end()
     return sorted(spans, key=lambda s: (s[1], ORDER[s[0]]))
 
 

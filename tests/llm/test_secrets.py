@@ -1,14 +1,19 @@
 """Secret scans against plain searches of the whole text."""
 
+import base64
 import binascii
 import hashlib
 import re
+import time
 
 import pytest
 from .helpers import FOLDER, by_id, texts
 from hypothesis import given, settings, strategies as st
 
 from cohortloom.llm import queries, secrets
+from cohortloom.llm.secrets import KINDS, find_secrets
+
+TOKEN_HEAD = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -83,3 +88,24 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in want) for k in secrets.BASE)
         assert set(line.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_keywords_without_end_take_linear_time():
+    """A segment of a million keywords is looked at once; what follows is found all the same."""
+    token = f"{TOKEN_HEAD}.eyJ4Ijox.c2ln"
+    hostile = "eyJ" * 1_000_000
+    start = time.perf_counter()
+    spans = find_secrets(f"{hostile} {token} eyJa.{hostile} {token}")
+    assert time.perf_counter() - start < 20
+    at = len(hostile) + 1
+    second = at + len(token) + len(" eyJa.") + len(hostile) + 1
+    assert [s for s in spans if s[0] == "web_token"] == [
+        ("web_token", at, at + len(token)), ("web_token", second, second + len(token))]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["eyJ", ".", "a", "-", " ", "EYJ", TOKEN_HEAD]), max_size=14).map("".join))
+def test_web_tokens_as_by_plain_search(text):
+    rule = next(k for k in KINDS if k.name == "web_token")
+    want = [(rule.name, *m.span()) for m in rule.pattern.finditer(text) if rule.valid(m)]
+    assert [s for s in find_secrets(text) if s[0] == rule.name] == want
