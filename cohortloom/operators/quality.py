@@ -109,6 +109,15 @@ def insert_ignore(spec: TableSpec, batch: DataFrame, order: list[str],
     return Insert(rows.select(*spec.schema.fieldNames(), "reasons"))
 
 
+def key_certificate(rows: DataFrame, key: list[str]) -> tuple[int, int]:
+    """K3: (distinct keys, most rows of a key). Only 128-bit digests of the keys are shuffled, counted before that;
+    rows with a null in the key are left out."""
+    whole = F.forall(F.array(*(F.col(c).isNotNull() for c in key)), lambda known: known)
+    digests = rows.where(whole).select(*(F.xxhash64(F.lit(i), *key).alias(f"h{i}") for i in (1, 2)))
+    counts = digests.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    return tuple(counts.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).head())
+
+
 def already_stored(spec: TableSpec, judged: DataFrame, existing: DataFrame) -> DataFrame:
     """Rows without a reason yet whose key is stored get one."""
     known = existing.select(*spec.key).distinct().withColumn("_known", F.lit(True))

@@ -103,6 +103,23 @@ def _chosen_lines(matrix: Matrix, shared: DataFrame | None) -> DataFrame:
     return unique_lines(lines)
 
 
+def skipped_lines(matrix: Matrix, shared: DataFrame | None) -> dict[str, int]:
+    """Lines without a valid label, those of labels that are not shared, and those that repeat
+    the label of an earlier line."""
+    valid = F.coalesce(c.valid_symbol("label"), F.lit(False))
+    labels = matrix.lines.select("label", valid.alias("_valid")).groupBy("label", "_valid").agg(F.count("*").alias("_n"))
+    known = F.lit(True)
+    if shared is not None:
+        labels = labels.join(shared.select("label", F.lit(True).alias("_known")), "label", "left")
+        known = F.coalesce("_known", F.lit(False))
+    n, ok = F.col("_n"), F.col("_valid") & known
+    counts = labels.agg(
+        F.coalesce(F.sum(F.when(~F.col("_valid"), n)), F.lit(0)).alias("no label"),
+        F.coalesce(F.sum(F.when(F.col("_valid") & ~known, n)), F.lit(0)).alias("not shared"),
+        F.coalesce(F.sum(F.when(ok, n - 1)), F.lit(0)).alias("repeated label"))
+    return counts.head().asDict()
+
+
 def _no_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 

@@ -135,7 +135,7 @@ def load_expression(store: Store, src: Sources, all_genes: bool = False) -> int:
     for (study, matrix, sample_id), platform in zip(both, ["RNA-seq", "microarray"]):
         if matrix is not None:
             rows = genomics.expression_rows(matrix, sample_id, tumors, shared, platform)
-            store.insert("gene_expression", rows, [], "trust")
+            store.insert("gene_expression", rows, [], "trust", genomics.skipped_lines(matrix, shared), unique=True)
             store.log([("gene_expression", study, "expression_z_score",
                         f"Z-score per gene across all {study} samples", "expression_value",
                         "Enables rank-based cross-study comparison")])
@@ -150,7 +150,7 @@ def load_copy_number(store: Store, src: Sources, all_genes: bool = False) -> int
     for study, matrix, sample_id in both:
         if matrix is not None:
             rows = genomics.copy_number_rows(matrix, sample_id, tumors, shared)
-            store.insert("copy_number", rows, [], "trust")
+            store.insert("copy_number", rows, [], "trust", genomics.skipped_lines(matrix, shared), unique=True)
             store.log([("copy_number", study, "gistic_value",
                         "GISTIC2 discrete values from Affymetrix SNP6.0",
                         "data_cna.txt", "Directly comparable across studies")])

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.dedupe import sequential_numbers
 from ..operators.cascade import doomed_rows
 from ..operators.quality import (
-    ForeignKey, Insert, TableSpec, already_stored, check_foreign_keys, conform, insert_ignore, orphan_keys,
+    ForeignKey, Insert, TableSpec, already_stored, check_foreign_keys, conform, insert_ignore,
+    key_certificate, orphan_keys,
 )
 from ..session import staged
 from ..sources import files
@@ -35,6 +36,8 @@ class Load:
     reasons: dict[str, int]
     rejected: DataFrame
     skipped: dict[str, int]
+    #: Distinct keys of a batch whose keys should be unique already, where that was checked.
+    distinct_keys: int | None = None
 
 
 class Store:
@@ -125,17 +128,24 @@ class Store:
                 files.delete(self.spark, f"{self.root}/_snapshots/{name}")
 
     def insert(self, table: str, batch: DataFrame, order: list[str], on_orphan: str = "raise",
-               skipped: dict[str, int] | None = None) -> Insert:
+               skipped: dict[str, int] | None = None, unique: bool = False) -> Insert:
         """Append the rows that break no rule and repeat no key.
 
         Of the stored rows, only files that may hold a key of the batch are read. A row whose parent is
         missing fails the load before anything is stored, or with ``on_orphan="reject"`` joins the
         rejected rows; "trust" skips the check for batches that were joined with their parents.
+        Without an ``order`` a repeated key fails the load likewise; ``unique`` skips that check for
+        batches of one row per key by construction.
         The judged batch is written once; stored and rejected rows and their counts are read from there.
         """
         spec, folder = TABLES[table], self._folder(table)
         parts = self.snapshot().parts(table)
         result = Insert(staged(insert_ignore(spec, batch, order).judged))
+        distinct = None
+        if not order and not unique:
+            distinct, most = key_certificate(result.stored, spec.key)
+            if most > 1:
+                raise ValueError(f"{table}: {most} rows of one key ({', '.join(spec.key)}) in a batch without an order")
         if (held := folder.may_hold(parts, result.stored)) is not None:
             result = Insert(staged(already_stored(spec, result.judged, held)))
         parents = self._parents(spec)
@@ -145,7 +155,7 @@ class Store:
             result = Insert(staged(reduce(
                 lambda rows, fk: _orphans_marked(rows, fk, parents[fk.parent]), spec.foreign_keys, result.judged)))
         self._replace(table, parts + folder.add(result.stored, indexed=True))
-        self.loads.append(_counted(table, result, skipped or {}))
+        self.loads.append(replace(_counted(table, result, skipped or {}), distinct_keys=distinct))
         return result
 
     def load_report(self) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import clean as c, vocab
 from ..operators import combat, liftover, reshape
 from ..operators.lookup import flag_members
 from ..plans import genomics, report, views
-from ..sources.matrix import Matrix
+from ..plans.store import Store
+from ..session import shared_folder
+from ..sources.matrix import Matrix, read_matrix
 from .registry import query, sql_pick
 
 # ---- views ----
@@ -195,19 +199,43 @@ def _known_samples(t):
     return t.spark.createDataFrame([(s,) for s in sorted(set(_SAMPLES.values()))], "tumor_id string")
 
 
-@query("q_g2_lines", f"""
+_LINES_SQL = f"""
     WITH w AS ({_LINES}), v AS (SELECT user_id, unnest([view, click, purchase])::DOUBLE AS x FROM w),
     stats AS (SELECT user_id, avg(x) AS mu, sqrt(var_pop(x) * 3 / 2) AS sigma FROM v GROUP BY user_id),
     stored AS (SELECT user_id, 'web' AS tumor_id, coalesce(click, view)::DOUBLE AS x FROM w
                UNION ALL SELECT user_id, 'shop', purchase::DOUBLE FROM w)
     SELECT tumor_id, 'G' || user_id AS gene_symbol, user_id AS entrez_id, x AS expression_value,
            CASE WHEN sigma > 0 THEN round((x - mu) / sigma, 4) + 0.0 ELSE 0.0 END AS expression_z_score, 'RNA-seq' AS platform
-    FROM stored JOIN stats USING (user_id) WHERE x IS NOT NULL""")
+    FROM stored JOIN stats USING (user_id) WHERE x IS NOT NULL"""
+
+
+@query("q_g2_lines", _LINES_SQL)
 def expression_lines(t):
     rows = genomics.expression_rows(_lines(t), _sample_id, _known_samples(t), None, "RNA-seq")
     return rows.withColumn("expression_z_score", F.col("expression_z_score") + 0.0)
 
 
+@query("q_g2_text", _LINES_SQL)
+def expression_text(t):
+    """From text to stored rows: plain part files of users with an even number, compressed ones in another order
+    of columns of the others, each with a header; read as one matrix, scored, inserted and read back."""
+    folder = f"{shared_folder(t.spark)}/{t.spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    cells = _sql(t, _LINES, events=t.events).select(
+        F.col("user_id"), F.concat(F.lit("G"), "user_id").alias("Hugo_Symbol"),
+        F.concat(F.col("user_id"), F.lit(".0")).alias("Entrez_Gene_Id"),
+        *(F.coalesce(F.col(e).cast("string"), F.lit("" if e == "click" else "NA")).alias(e) for e in _EVENT_TYPES))
+    names = ["Hugo_Symbol", "Entrez_Gene_Id", *_EVENT_TYPES]
+    for odd, columns, packed in [(0, names, "none"), (1, [*names[:1:-1], *names[:2]], "gzip")]:
+        part = cells.where(F.col("user_id") % 2 == odd).select(*columns)
+        part.write.options(header=True, sep="\t", emptyValue="", compression=packed).csv(f"{folder}/text/part={odd}")
+    matrix = read_matrix(t.spark, f"{folder}/text/*")
+    store = Store(t.spark, f"{folder}/store")
+    rows = genomics.expression_rows(matrix, _sample_id, _known_samples(t), None, "RNA-seq")
+    store.insert("gene_expression", rows, [], "trust", unique=True)
+    stored = store.read("gene_expression")
+    return stored.withColumn("expression_z_score", F.col("expression_z_score") + 0.0)
+
+
 @query("q_g3_lines", f"""
     WITH w AS ({_LINES.replace("event_id END", "event_id % 8 - 4 END")}), f AS (SELECT user_id, {", ".join(
         f"CASE WHEN {e} BETWEEN -2 AND 2 THEN {e} END AS {e}" for e in _SAMPLES)} FROM w)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import key_index
 from cohortloom.operators.cascade import affected_tables
-from cohortloom.operators.quality import insert_ignore
+from cohortloom.operators.quality import insert_ignore, key_certificate
 from cohortloom.plans import snapshot
 from cohortloom.plans.schema import TABLES
 from cohortloom.plans.store import Store
@@ -190,3 +190,19 @@ def test_parents_come_first():
     assert all(at[fk.parent] < at[n] for n in names for fk in TABLES[n].foreign_keys)
     assert [s.name for s in affected_tables(list(TABLES.values()), "treatments")] == ["treatments"]
     assert list(itertools.chain(*(s.key for s in affected_tables(list(TABLES.values()), "copy_number")))) == ["tumor_id", "gene_symbol"]
+
+
+def test_a_repeated_key_fails_a_batch_without_order(spark, store):
+    """Nothing is stored then; digests of keys are all that is shuffled."""
+    good = cells(spark, "MB", range(5), range(4))
+    store.insert("copy_number", good, [], "trust")
+    assert store.loads[-1].distinct_keys == 20
+    with pytest.raises(ValueError, match="3 rows of one key .tumor_id, gene_symbol."):
+        store.insert("copy_number", cells(spark, "ZZ", [1, 2, 1, 1], [1]), [], "trust")
+    assert store.count("copy_number") == 20 and len(store.loads) == 1
+    store.insert("copy_number", cells(spark, "YY", range(2), range(2)), [], "trust", unique=True)
+    assert store.loads[-1].distinct_keys is None
+    digests = good.select(F.xxhash64(F.lit(1), "tumor_id", "gene_symbol").alias("h1"), F.xxhash64(F.lit(2), "tumor_id", "gene_symbol").alias("h2"))
+    assert key_certificate(good, ["tumor_id", "gene_symbol"]) == (digests.distinct().count(), 1)
+    assert key_certificate(good.limit(0), ["tumor_id"]) == (0, 0)
+    assert key_certificate(good.withColumn("tumor_id", F.lit(None).cast("string")), ["tumor_id"]) == (0, 0)
