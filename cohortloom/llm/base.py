@@ -10,9 +10,9 @@ from ..session import tune
 BATCH_BYTES = str(16 << 20)
 
 
-def prepared(df: DataFrame) -> DataFrame:
+def prepared(df: DataFrame, batch_bytes: str = BATCH_BYTES) -> DataFrame:
     """The same rows, in a session set up for the operators."""
-    tune(df.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    tune(df.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
     return df
 
 

@@ -13,27 +13,31 @@ from cohortloom.llm.queries import BYTE_BPE
 from cohortloom.session import staged
 
 
+#: Stages carry whole rows, so workers get less of them at a time than for a single operator.
+BATCH_BYTES = str(4 << 20)
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language, which needs a letter; filters are learned
     from the stage's own labels."""
-    docs = prepared(docs)
+    docs = prepared(docs, BATCH_BYTES)
     return language.keep_identified(docs, language.learn(docs, F.col("lang")))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near-duplicates, by the
     stage's shingles of five words and a similarity of 0.8 or more."""
-    return near_texts.keep_one_of_each(prepared(docs), near_texts.Similarity(width=5, percent=80))
+    return near_texts.keep_one_of_each(prepared(docs, BATCH_BYTES), near_texts.Similarity(width=5, percent=80))
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind of each secret in its place."""
-    return secrets.mask_secrets(prepared(docs))
+    return secrets.mask_secrets(prepared(docs, BATCH_BYTES))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two lengths with their token ids."""
-    return packing.pack(prepared(docs), BYTE_BPE)
+    return packing.pack(prepared(docs, BATCH_BYTES), BYTE_BPE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
