@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, staged
 from .lookup import checked_broadcast
 
 #: Fixed-point steps of every feature, and the relative change of the last one above which
@@ -77,12 +77,13 @@ class Prepared:
     n_features: int
 
 
-def prepare(cells: DataFrame, min_samples: int = 10, max_missing: float = 0.5) -> Prepared | None:
+def prepare(cells: DataFrame, min_samples: int = 10, max_missing: float = 0.5, written: bool = False) -> Prepared | None:
     """D8, D9, D11. None when no feature or no sample is left.
 
-    The cells are written once: four passes follow, and cells are costly to derive.
+    Four passes follow, so the cells are written once, unless they are ``written`` already in a
+    form from which they are cheap to take.
     """
-    cells = checkpointed(cells)
+    cells = cells if written else staged(cells)
     covered = checked_broadcast(feature_coverage(cells, min_samples).select("feature"))
     n_features = covered.count()
     if n_features == 0:

@@ -11,6 +11,7 @@ from ..functions import clean as c, vocab
 from ..operators.dedupe import content_ids
 from ..operators.lookup import checked_broadcast, flag_members, members, shared_keys
 from ..operators.reshape import explode_samples, first_known, last_known, line_scores, z_score
+from ..session import staged
 from ..sources.delimited import col_or_null, rename_headers
 from ..sources.matrix import Matrix, column_map, unique_lines, with_sample_values
 
@@ -163,6 +164,9 @@ def batch_cells(matrices: list[tuple[Matrix, Callable[[str], Column]]], tumor_st
     Of columns that share a tumor the last with a value counts, and a later matrix
     overrides an earlier one. Missing cells stay, with null values. None if a
     matrix matches no sample or nothing is shared.
+
+    What is written are the parsed lines, with the values of a line side by side; the cells are taken
+    out of them anew by each pass, which then counts or sums them before anything is shuffled.
     """
     known = tumor_study.select(F.col("tumor_id").alias("sample_id"))
     maps = [column_map(m.header, sid, known) for m, sid in matrices]
@@ -175,12 +179,12 @@ def batch_cells(matrices: list[tuple[Matrix, Callable[[str], Column]]], tumor_st
     parts = []
     for rank, ((matrix, _), columns) in enumerate(zip(matrices, maps)):
         lines = with_sample_values(_chosen_lines(matrix, shared), columns, c.parse_double, "double")
-        parts.append(explode_samples(lines, last_known(), ["label"]).withColumn("_rank", F.lit(rank)))
+        parts.append(explode_samples(staged(lines), last_known(), ["label"]).withColumn("_rank", F.lit(rank)))
     cells = reduce(DataFrame.unionByName, parts)
     samples = reduce(DataFrame.unionByName, [m.select("sample_id").distinct() for m in maps])
     if not samples.groupBy("sample_id").count().where("count > 1").isEmpty():
-        cells = cells.groupBy("label", "sample_id").agg(
-            F.max_by("value", F.when(F.col("value").isNotNull(), F.col("_rank"))).alias("value"))
+        cells = staged(cells.groupBy("label", "sample_id").agg(
+            F.max_by("value", F.when(F.col("value").isNotNull(), F.col("_rank"))).alias("value")))
     value = F.log2(F.col("value") + 1) if log2p1 else F.col("value")
     batch = checked_broadcast(tumor_study.join(
         samples.select(F.col("sample_id").alias("tumor_id")), "tumor_id", "left_semi"))

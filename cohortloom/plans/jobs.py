@@ -187,7 +187,7 @@ def run_combat(store: Store, src: Sources, min_samples: int = 10, dry_run: bool
         return None
     study = tumor_study(store.read("patients"), store.read("tumors"))
     cells = genomics.batch_cells([(m, sid) for _, m, sid in both], study, log2p1)
-    prepared = prepare(cells, min_samples) if cells is not None else None
+    prepared = prepare(cells, min_samples, written=True) if cells is not None else None
     if prepared is None:
         return None
     cells = staged(correct_batches(prepared))

@@ -2,13 +2,15 @@
 
 import dataclasses
 import math
+import re
 import shutil
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.plans import clinical, jobs, views
+from cohortloom.operators import combat
+from cohortloom.plans import clinical, genomics, jobs, views
 from cohortloom.plans.schema import TABLES
 from cohortloom.plans.store import Store
 from cohortloom.session import checkpointed
@@ -361,6 +363,23 @@ def test_combat_from_files(loaded, src, write):
     assert loaded.count("gene_expression_combat") == x.size
 
 
+def test_cells_of_a_combat_run_are_read_from_lines(loaded, src, write):
+    """Every pass explodes written lines; counts per sample and sums per gene and batch are
+    formed before the shuffle, so no cell is shuffled or stored as a row."""
+    combat_files(loaded, src, write)
+    both = jobs._cohort_matrices(loaded.spark, src.exome_expression, src.panel_expression, "Hugo_Symbol")
+    study = views.tumor_study(loaded.read("patients"), loaded.read("tumors"))
+    cells = genomics.batch_cells([(m, sid) for _, m, sid in both], study)
+    prepared = combat.prepare(cells, 4, written=True)
+    plan = prepared.cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "samples#" in plan and plan.count("Generate explode") == 2 and not re.search(r"LogicalRDD \[[^]]*value", plan)
+    for passed in (combat.kept_samples(cells, 3), combat.feature_coverage(cells, 4)):
+        physical = passed._jdf.queryExecution().executedPlan().toString()
+        partial = physical.index("partial_count")
+        # Read upwards, the first shuffle stands above the partial counts.
+        assert "hashpartitioning" in physical[:partial] and "hashpartitioning" not in physical[partial:]
+
+
 def test_combat_needs_both_sides(loaded, src, write):
     assert jobs.run_combat(loaded, src, min_samples=100) is None
     src.panel_expression = write("none.txt", "Hugo_Symbol\tMB-77\tMB-78\nG1\t1\t2\n")
