@@ -19,7 +19,7 @@ from ..sources.files import fingerprint
 from ..sources.matrix import Matrix, read_matrix
 from . import clinical, genomics
 from .report import database_summary
-from .schema import CLINICAL_LOG, TABLES
+from .schema import CLINICAL_LOG, TABLES, load_entry
 from .store import Store
 from .views import tumor_study
 
@@ -104,14 +104,7 @@ def load_mutations(store: Store, src: Sources) -> int:
         source = read_table(spark, src.exome_mutations)
         store.insert("mutations", genomics.exome_variants(source, tumors, panel), [], "trust",
                      genomics.skipped_variants(source, c.primary_tumor_id, tumors))
-    store.log([
-        ("mutations", vocab.STUDY_BOTH, "in_metabric_panel",
-         f"Exome variants flagged against the {panel.count()} genes of the panel cohort's mutation data",
-         "Hugo_Symbol", "Use WHERE in_metabric_panel=1 for cross-study comparisons"),
-        ("mutations", vocab.STUDY_PANEL, "reference_genome",
-         "Stored as GRCh37. Liftover to GRCh38 needed for coordinate comparisons.",
-         "Start_Position", "Gene-level analysis works without liftover"),
-    ])
+    store.log([load_entry("panel", genes=panel.count()), load_entry("build")])
     return store.count("mutations")
 
 
@@ -136,9 +129,7 @@ def load_expression(store: Store, src: Sources, all_genes: bool = False) -> int:
         if matrix is not None:
             rows = genomics.expression_rows(matrix, sample_id, tumors, shared, platform)
             store.insert("gene_expression", rows, [], "trust", genomics.skipped_lines(matrix, shared), unique=True)
-            store.log([("gene_expression", study, "expression_z_score",
-                        f"Z-score per gene across all {study} samples", "expression_value",
-                        "Enables rank-based cross-study comparison")])
+            store.log([load_entry("expression", study=study)])
     return store.count("gene_expression")
 
 
@@ -151,9 +142,7 @@ def load_copy_number(store: Store, src: Sources, all_genes: bool = False) -> int
         if matrix is not None:
             rows = genomics.copy_number_rows(matrix, sample_id, tumors, shared)
             store.insert("copy_number", rows, [], "trust", genomics.skipped_lines(matrix, shared), unique=True)
-            store.log([("copy_number", study, "gistic_value",
-                        "GISTIC2 discrete values from Affymetrix SNP6.0",
-                        "data_cna.txt", "Directly comparable across studies")])
+            store.log([load_entry("copy_number", study=study)])
     return store.count("copy_number")
 
 
@@ -164,14 +153,12 @@ def liftover_mutations(store: Store, chain: str, dry_run: bool = False) -> dict[
     counts = lift_summary(lifted).head().asDict()
     if counts["total"] and not dry_run:
         store.move_partition("mutations", vocab.BUILD_SOURCE, lifted)
-        store.log([
-            ("mutations", vocab.STUDY_PANEL, "start_position",
-             f"Lifted {counts['lifted']:,}/{counts['total']:,} mutations from GRCh37 to GRCh38. "
-             f"{counts['failed']:,} variants unmappable.",
-             "start_position, end_position, chromosome",
-             f"Unmappable variants flagged with reference_genome='GRCh37_UNMAPPED'. "
-             f"{counts['cross_chromosome']} had start/end on different chromosomes after liftover."),
-        ])
+        store.log([(
+            "mutations", vocab.STUDY_PANEL, "start_position",
+            f"{counts['lifted']:,} of {counts['total']:,} rows moved to {vocab.BUILD_TARGET} along the chain alignments",
+            "chromosome, start_position, end_position",
+            f"The other {counts['failed']:,} keep their place and carry {vocab.BUILD_UNMAPPED}; the ends of "
+            f"{counts['cross_chromosome']:,} of them fall on different chromosomes.")])
     return counts
 
 
@@ -201,15 +188,12 @@ def run_combat(store: Store, src: Sources, min_samples: int = 10, dry_run: bool
     if dry_run:
         return result
     store.overwrite("gene_expression_combat", result)
-    store.log([
-        ("gene_expression_combat", vocab.STUDY_BOTH, "expression_combat",
-         f"Parametric ComBat batch correction on {prepared.n_features:,} shared genes across "
-         f"{prepared.sizes.agg(F.sum('n_samples')).head()[0]:,} samples. "
-         f"Batch variable: study_source. "
-         f"{store.count('gene_expression_combat'):,} corrected values written.",
-         "flat file expression values",
-         "Original values are kept in the source files. ComBat assumes log-scale input."),
-    ])
+    n_samples = prepared.sizes.agg(F.sum("n_samples")).head()[0]
+    store.log([(
+        "gene_expression_combat", vocab.STUDY_BOTH, "expression_combat",
+        f"Effect of study_source removed by parametric empirical Bayes: {prepared.n_features:,} shared genes, "
+        f"{n_samples:,} samples, {store.count('gene_expression_combat'):,} values",
+        "expression matrices", "Values are taken to be on a log scale; those of gene_expression stay as they are.")])
     return store.read("gene_expression_combat")
 
 

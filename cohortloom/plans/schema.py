@@ -258,3 +258,24 @@ CLINICAL_LOG = [
     ("treatments", "TCGA-BRCA", "treatment_type",
      "From GDC biotab clinical archive (drug + radiation) and cBioPortal surgery", "therapy_type", None),
 ]
+
+# The audit rows of the other loads, with places to fill in.
+LOAD_LOG = {
+    "panel": ("mutations", "BOTH", "in_metabric_panel",
+              "TCGA mutations flagged against {genes}-gene panel derived from METABRIC mutation data",
+              "Hugo_Symbol", "Use WHERE in_metabric_panel=1 for cross-study comparisons"),
+    "build": ("mutations", "METABRIC", "reference_genome",
+              "Stored as GRCh37. Liftover to GRCh38 needed for coordinate comparisons.",
+              "Start_Position", "Gene-level analysis works without liftover"),
+    "expression": ("gene_expression", "{study}", "expression_z_score",
+                   "Z-score per gene across all {study} samples", "expression_value",
+                   "Enables rank-based cross-study comparison"),
+    "copy_number": ("copy_number", "{study}", "gistic_value",
+                    "GISTIC2 discrete values from Affymetrix SNP6.0", "data_cna.txt",
+                    "Directly comparable across studies"),
+}
+
+
+def load_entry(name: str, **values) -> tuple:
+    """One audit row of a load."""
+    return tuple(part.format(**values) for part in LOAD_LOG[name])

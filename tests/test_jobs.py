@@ -334,6 +334,11 @@ def test_copy_number(loaded, src):
     assert rows(loaded.read("copy_number")) == [
         ("MB-1", "G1", 2, None), ("MB-1", "G2", 0, None), ("MB-2", "G1", -1, None),
         ("TCGA-A-1-01", "G1", -2, None), ("TCGA-A-2-01", "G1", 0, None)]
+    assert [load.skipped for load in loaded.loads[-2:]] == [
+        {"no label": 0, "not shared": 1, "repeated label": 1}, {"no label": 0, "not shared": 0, "repeated label": 0}]
+    jobs.load_expression(loaded, src)
+    assert [load.skipped for load in loaded.loads[-2:]] == [
+        {"no label": 1, "not shared": 1, "repeated label": 1}, {"no label": 1, "not shared": 0, "repeated label": 0}]
 
 
 def combat_files(loaded, src, write, genes=12):
