@@ -15,6 +15,7 @@ tile returns the links that join components, never the pairs.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from math import comb
 from typing import NamedTuple
@@ -34,6 +35,9 @@ BATCH = 30
 MISS = 1e-7
 #: Members of a bucket that are compared in one task on either side, and pairs at a time.
 TILE, PAIRS = 512, 50_000
+TILE_KEY = ["band", "key", "i", "j"]
+#: Sets that a task keeps while it verifies pairs of a tile; beyond, they are made again.
+SET_BYTES = 256 << 20
 #: Bits of the filter by which documents that are no candidates are left out early. It is
 #: of fixed size; beyond some ten million candidates it lets more pass, all to be joined.
 FILTER_BITS = 25
@@ -200,57 +204,120 @@ def _promising(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFr
     return sized.select("a", "b", "s_a", "s_b").mapInArrow(prune, "a bigint, b bigint")
 
 
+def _starts(table: pa.Table) -> np.ndarray:
+    """Where the tiles of a sorted table start."""
+    change = np.zeros(table.num_rows, bool)
+    change[:1] = True
+    for c in TILE_KEY:
+        column = table.column(c).to_numpy()
+        change[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(change)
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted batches as tables that no tile crosses: the last tile of a batch waits for the next one."""
+    waiting = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table])
+        cut = int(_starts(table)[-1]) if table.num_rows else 0
+        if cut:
+            yield table.slice(0, cut)
+        waiting = table.slice(cut)
+    if waiting is not None and waiting.num_rows:
+        yield waiting
+
+
+def _pairs_apart(tiles: pa.Table, plan, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows x, y of one tile and component each that sequential verification leaves, and
+    their agreements; all tiles of the table at once, by the distance of the rows."""
+    starts = _starts(tiles)
+    end = np.repeat(np.append(starts[1:], tiles.num_rows), np.diff(starts, append=tiles.num_rows))
+    component, size, band, left, right = (
+        tiles.column(c).to_numpy() for c in ("component", "n_shingles", "band", "left", "right"))
+    signs = _signatures_of(tiles.column("signature"))
+    x, distance, waiting, count = np.flatnonzero(left), 0, [], 0
+    while len(x):
+        distance += 1
+        x = x[x + distance < end[x]]
+        y = x + distance
+        fit = right[y] & (component[x] != component[y]) & (
+            100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+        waiting.append(np.stack([x[fit], y[fit]]))
+        count += waiting[-1].shape[1]
+        if count < PAIRS and len(x):
+            continue
+        a, b = np.concatenate(waiting, 1)
+        waiting, count = [], 0
+        for at in range(0, len(a), PAIRS):
+            alive, agree = _agreeing(signs, signs, a[at:at + PAIRS], b[at:at + PAIRS], plan)
+            u, v = a[at:at + PAIRS][alive], b[at:at + PAIRS][alive]
+            first = (signs[u] == signs[v]).reshape(len(u), BANDS, ROWS).all(2).argmax(1) == band[u]
+            yield u[first], v[first], agree[first]
+
+
 def _joining(members: DataFrame, components: DataFrame, classes: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Links (a, b) that join the components within each bucket, verified on full sets.
-    A pair is looked at in the first band that it shares, and only while it is apart."""
+    A pair is looked at in the first band that it shares, and only while it is apart.
+
+    Signatures alone are dealt out to tiles first. Texts are fetched for the rows that are
+    left with a promising pair, to the same tiles.
+    """
     plan = least_agreements(like.percent)
     bucket = ["band", "key"]
     placed = members.select(*bucket, "node").join(components.withColumnRenamed("id", "node"), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = placed.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     rows = placed.join(mixed.select(*bucket), bucket, "left_semi").join(
-        classes.select("node", "n_shingles", "signature"), "node").join(texts, "node")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def meet(tile: pa.Table) -> pa.Table:
-        get = {c: tile.column(c) for c in tile.column_names}
-        node, component, size = (np.array(get[c], np.int64) for c in ("node", "component", "n_shingles"))
-        left, right = (np.flatnonzero(np.array(get[c], bool)) for c in ("left", "right"))
-        signs, band = _signatures_of(get["signature"]), get["band"][0].as_py()
-        found = [np.zeros((3, 0), np.int64)]
-        for start in range(0, len(left), 64):
-            part = left[start:start + 64, None]
-            fit = (node[part] < node[right]) & (component[part] != component[right]) & (
-                100 * np.minimum(size[part], size[right]) >= like.percent * np.maximum(size[part], size[right]))
-            x, y = np.nonzero(fit)
-            for at in range(0, len(x), PAIRS):
-                a, b = part[x[at:at + PAIRS], 0], right[y[at:at + PAIRS]]
-                alive, agree = _agreeing(signs, signs, a, b, plan)
-                a, b = a[alive], b[alive]
-                first = (signs[a] == signs[b]).reshape(len(a), BANDS, ROWS).all(2).argmax(1) == band
-                found.append(np.stack([a[first], b[first], agree[first]]))
-        a, b, agree = np.concatenate(found, 1)
-        used = np.unique(np.concatenate([a, b]))
-        sets = dict(zip(used.tolist(), shingle_sets(get["text"].take(pa.array(used)).to_pylist(), like.width)))
-        tree = {c: c for c in component.tolist()}
-
-        def root(c: int) -> int:
-            while tree[c] != c:
-                tree[c] = c = tree[tree[c]]
-            return c
-
-        links = []
-        for k in np.argsort(-agree, kind="stable").tolist():
-            i, j = int(a[k]), int(b[k])
-            x, y = root(int(component[i])), root(int(component[j]))
-            if x != y and _alike(sets[i], sets[j], like):
-                tree[max(x, y)] = min(x, y)
-                links.append((int(node[i]), int(node[j])))
-        columns = list(zip(*links)) or [(), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
-
-    tiled = in_tiles(rows, bucket, "node", TILE)
-    return staged(tiled.groupBy(*bucket, "i", "j").applyInArrow(meet, "a bigint, b bigint"))
+        classes.select("node", "n_shingles", "signature"), "node")
+
+    def promising(batches):
+        for tiles in _whole_tiles(batches):
+            used = np.zeros(tiles.num_rows, bool)
+            for x, y, _ in _pairs_apart(tiles, plan, like.percent):
+                used[x] = used[y] = True
+            yield from tiles.filter(pa.array(used)).to_batches()
+
+    def join(batches):
+        for tiles in _whole_tiles(batches):
+            found = [np.zeros((3, 0), np.int64), *map(np.stack, _pairs_apart(tiles, plan, like.percent))]
+            a, b, agree = np.concatenate(found, 1)
+            node, component, texts_of = tiles.column("node").to_numpy(), tiles.column("component").to_pylist(), tiles.column("text")
+            tree = {c: c for c in component}
+            sets: dict[int, np.ndarray] = {}
+            held = 0
+
+            def root(c: int) -> int:
+                while tree[c] != c:
+                    tree[c] = c = tree[tree[c]]
+                return c
+
+            def set_of(k: int) -> np.ndarray:
+                nonlocal held
+                if node[k] not in sets:
+                    if held > SET_BYTES:
+                        sets.clear()
+                        held = 0
+                    sets[node[k]] = shingle_sets([texts_of[k].as_py()], like.width)[0]
+                    held += sets[node[k]].nbytes
+                return sets[node[k]]
+
+            links = []
+            for k in np.argsort(-agree, kind="stable").tolist():
+                i, j = int(a[k]), int(b[k])
+                x, y = root(component[i]), root(component[j])
+                if x != y and _alike(set_of(i), set_of(j), like):
+                    tree[max(x, y)] = min(x, y)
+                    links.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(node[a[links]]), pa.array(node[b[links]])], ["a", "b"])
+
+    def by_tile(df: DataFrame) -> DataFrame:
+        return df.repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "node")
+
+    dealt = in_tiles(rows, bucket, "node", TILE)
+    left = staged(by_tile(dealt).mapInArrow(promising, dealt.schema))
+    return staged(by_tile(left.join(texts, "node")).mapInArrow(join, "a bigint, b bigint"))
 
 
 def _alike(a: np.ndarray, b: np.ndarray, like: Similarity) -> bool:

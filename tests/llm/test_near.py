@@ -265,3 +265,32 @@ def test_columns_of_any_name_stay(spark):
     got = [tuple(r) for r in kept.collect()]
     assert {r[0] for r in got} == want and None in want and len(got) == len(want) == 102
     assert all(set(r[3:]) == {r[2]} for r in got)
+
+
+def test_tiles_of_a_crowded_bucket(spark, monkeypatch):
+    """Texts that share half of their words and are near copies in small groups: leaders
+    link few of them, so buckets are dealt out to many tiles, over several Arrow batches."""
+    monkeypatch.setattr(near_texts, "TILE", 4)
+    monkeypatch.setattr(near_texts, "PAIRS", 16)
+    monkeypatch.setattr(near_texts, "SET_BYTES", 2_000)
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(300)]
+    rows = []
+    for group in range(12):
+        base = [*common, *(f"g{group}.{i}" for i in range(60))]
+        for k in range(5):
+            own = list(base)
+            for _ in range(k):
+                own[rng.randrange(len(own))] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    like = Similarity(5, 80)
+    want = brute(rows, like)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert len({v[1] for v in want.values()}) > 1
+        assert result(near_texts.near_duplicates(docs, like)) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
