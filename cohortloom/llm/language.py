@@ -1,7 +1,8 @@
 """Language identification with bit-sliced Bloom filters.
 
-One table of slots serves all languages: a slot holds a bit per language, and the bitwise
-and of an n-gram's slots gives all languages that contain it at once. A text's hits are
+One table of slots serves up to 64 languages: a slot holds a bit per language, and the bitwise
+and of an n-gram's slots gives all languages that contain it at once. Further languages have
+further tables. A text's hits are
 counted per language, freed of the hits that are expected by mistake, and set against the
 share of hits that texts of the language have; the largest wins.
 """
@@ -27,10 +28,19 @@ LEAST_SHARE = 1e-5
 #: ... and is at least so frequent against the language that has most of it.
 LEAST_RATIO = 0.25
 GRAM = 4
+MASK_BITS = 64
 SLOT_BITS = 20
 #: Odd multipliers of the three hash functions; products with an n-gram fit 64 bits.
 MULTIPLIERS = (0x5E3779B1, 0x45EBCA77, 0x42B2AE3D)
 
+#: Languages whose tables a worker can be asked to hold (half a gigabyte); more are refused.
+MOST_LANGUAGES = 4_096
+#: A text's language is doubted where less of its n-grams than this, against texts of the language,
+#: are in its filter ...
+LEAST_EVIDENCE = 0.02
+#: ... unless the text has too few n-grams to tell.
+LEAST_GRAMS = 40
+
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes of ASCII that are no letters become spaces.
@@ -39,7 +49,7 @@ LETTERS_ONLY = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256
 
 class Filters(NamedTuple):
     languages: list[str]  # bit by bit
-    slots: np.ndarray  # a mask of languages per slot
+    slots: np.ndarray  # by table and slot, a mask of languages
     mistaken: np.ndarray  # share of foreign n-grams that a language's filter lets pass
     own: np.ndarray  # share of a language's n-grams that are in its filter
     common: int  # the language with most documents
@@ -85,6 +95,11 @@ def _slots(grams: np.ndarray) -> list[np.ndarray]:
     return [(grams * np.uint32(m)) >> np.uint32(32 - SLOT_BITS) for m in MULTIPLIERS]
 
 
+def _bit(masks: np.ndarray, language: int) -> np.ndarray:
+    kind = masks.dtype.type
+    return masks >> kind(language % MASK_BITS) & kind(1)
+
+
 def learn(docs: DataFrame, label: Column, sample_docs: int = SAMPLE_DOCS) -> Filters:
     """Filters of all non-null values of ``label``, from a sample that is bounded per
     language. Null texts are skipped; without any label the filters know no language."""
@@ -93,12 +108,14 @@ def learn(docs: DataFrame, label: Column, sample_docs: int = SAMPLE_DOCS) -> Fil
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", label.cast("string").alias("lang")
     ).where("lang is not null and text is not null")
     # One row per language.
-    sizes = sorted((-r["count"], r["lang"]) for r in labelled.groupBy("lang").count().collect())
+    counted = labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = sorted((-r["count"], r["lang"]) for r in counted)
     languages = sorted(lang for _, lang in sizes)
-    if len(languages) > 64:
-        raise ValueError("a mask holds 64 languages")
-    kind = next(k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= bits)
-    table = np.zeros(1 << SLOT_BITS, kind)
+    kind = next(k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64))
+                if len(languages) <= bits or bits == MASK_BITS)
+    table = np.zeros((-(-len(languages) // MASK_BITS), 1 << SLOT_BITS), kind)
     if not languages:
         return Filters([], table, np.zeros(0), np.ones(0), 0)
 
@@ -133,41 +150,47 @@ def learn(docs: DataFrame, label: Column, sample_docs: int = SAMPLE_DOCS) -> Fil
         own[r.bit] = r.own
     places = F.array(*[
         F.shiftright((F.col("gram") * m).bitwiseAND(0xFFFFFFFF), 32 - SLOT_BITS) for m in MULTIPLIERS])
-    slots = kept.select(F.explode(places).alias("slot"), F.expr("shiftleft(1L, bit)").alias("mask")).groupBy("slot").agg(
-        F.bit_or("mask").alias("mask")).toArrow()
-    table[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64).astype(kind)
-    filled = np.array([np.count_nonzero(table >> kind(i) & kind(1)) / len(table) for i in range(len(languages))])
+    slots = kept.select(
+        F.expr(f"bit div {MASK_BITS}").alias("of"), F.explode(places).alias("slot"),
+        F.expr(f"shiftleft(1L, bit % {MASK_BITS})").alias("mask")
+    ).groupBy("of", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table[slots["of"].to_numpy(), slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64).astype(kind)
+    filled = np.array([np.count_nonzero(_bit(table[i // MASK_BITS], i)) / table.shape[1] for i in range(len(languages))])
     return Filters(languages, table, filled ** len(MULTIPLIERS), own, languages.index(sizes[0][1]))
 
 
-def decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float]]:
-    """Language and score of each text: the winner's part of what all languages have."""
+def decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float], list[bool]]:
+    """Language and score of each text, the winner's part of what all languages have, and
+    whether its n-grams bear the language out."""
     parts = [_decide(texts[part], filters) for part in in_slices(texts)]
-    return [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
+    return tuple([x for p in parts for x in p[k]] for k in range(3))
 
 
-def _decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float]]:
+def _decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float], list[bool]]:
     found = [t is not None and bool(filters.languages) and LETTER.search(t) is not None for t in texts]
     known = [letters_of(t) for t, ok in zip(texts, found) if ok]
     if not known:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
     grams, ends = grams_of(known)
-    mask = filters.slots[_slots(grams)[0]]
-    for slot in _slots(grams)[1:]:
-        mask = mask & filters.slots[slot]
     starts = np.concatenate([[0], ends[:-1]])
     sizes = np.diff(ends, prepend=0).astype(float)
-    kind = filters.slots.dtype.type
-    hits = np.stack([
-        np.add.reduceat((mask >> kind(i) & kind(1)).astype(np.int64), starts) for i in range(len(filters.languages))], 1)
-    true = np.maximum(0, (hits - sizes[:, None] * filters.mistaken) / np.maximum(1e-9, 1 - filters.mistaken))
+    places, hits = _slots(grams), []
+    for k, table in enumerate(filters.slots):
+        mask = table[places[0]]
+        for slot in places[1:]:
+            mask = mask & table[slot]
+        hits += [np.add.reduceat(_bit(mask, i).astype(np.int64), starts)
+                 for i in range(k * MASK_BITS, min((k + 1) * MASK_BITS, len(filters.languages)))]
+    true = np.maximum(0, (np.stack(hits, 1) - sizes[:, None] * filters.mistaken) / np.maximum(1e-9, 1 - filters.mistaken))
     weight = true / np.maximum(filters.own, 1e-9)
     total = weight.sum(1)
     best = np.where(total > 0, weight.argmax(1), filters.common)
     score = np.where(total > 0, weight.max(1) / np.maximum(total, 1e-300), 0.0)
-    out = iter(zip(best.tolist(), score.tolist()))
-    pairs = [next(out) if ok else (-1, 0.0) for ok in found]
-    return [filters.languages[i] if i >= 0 else UNKNOWN for i, _ in pairs], [s for _, s in pairs]
+    borne = (weight.max(1) >= LEAST_EVIDENCE * sizes) | (sizes < LEAST_GRAMS)
+    out = iter(zip(best.tolist(), score.tolist(), borne.tolist()))
+    rows = [next(out) if ok else (-1, 0.0, False) for ok in found]
+    return ([filters.languages[i] if i >= 0 else UNKNOWN for i, _, _ in rows],
+            [s for _, s, _ in rows], [ok for _, _, ok in rows])
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
@@ -181,7 +204,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            languages, scores = decide(batch.column(1).to_pylist(), shared.value)
+            languages, scores, _ = decide(batch.column(1).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "lang_pred", "score"])
@@ -191,8 +214,12 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, filters: Filters) -> DataFrame:
-    """The rows whose text has a language, all columns as they are; the rows whose text has
-    a letter if the filters know no language."""
+    """The rows whose text has a language, all columns as they are, repeated rows and null ids
+    among them. Null texts and those without a letter go, and so do texts of LEAST_GRAMS n-grams
+    or more whose corrected counts fall short of LEAST_EVIDENCE in every learned language. Where
+    the filters know no language, all texts with a letter stay. An empty table gives no rows; a
+    very long text is judged as a whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     at = docs.columns.index("text")
 
@@ -200,7 +227,7 @@ def keep_identified(docs: DataFrame, filters: Filters) -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             if shared.value.languages:
-                keep = [lang != UNKNOWN for lang in decide(texts, shared.value)[0]]
+                keep = decide(texts, shared.value)[2]
             else:
                 keep = [t is not None and LETTER.search(t) is not None for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))

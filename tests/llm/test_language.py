@@ -35,7 +35,7 @@ def test_filters_hold_every_frequent_gram(docs):
         for g in grams.tolist():
             own[g] = own.get(g, 0) + 1
     share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
-    slots = filters.slots
+    (slots,) = filters.slots
     for lang, own in share.items():
         bit, inside, kept = filters.languages.index(lang), [], 0.0
         for g, s in own.items():
@@ -92,3 +92,49 @@ def test_slices_cover_all_texts(monkeypatch):
         parts = [texts[part] for part in language.in_slices(texts)]
         assert [t for part in parts for t in part] == texts
         assert all(len(part) == 1 or sum(len(t or "") for t in part) <= 10 for part in parts if any(part))
+
+
+def test_more_languages_than_a_mask_holds(spark):
+    """100 labels, each with words of its own: decisions equal those by exact sets of n-grams."""
+    import random
+
+    rng = random.Random(11)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for _ in range(100)]
+    rows = [(k * 10 + n, " ".join(rng.choices(words[k], k=40)), f"l{k:03}") for k in range(100) for n in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    filters = language.learn(docs, F.col("lang"), sample_docs=10**9)
+    assert len(filters.languages) == 100 and filters.slots.shape == (2, 1 << language.SLOT_BITS)
+    sets = {}
+    for _, text, lang in rows:
+        sets.setdefault(lang, set()).update(language.grams_of([language.letters_of(text)])[0].tolist())
+    new = [" ".join(rng.choices(words[k], k=25) + rng.choices(words[(k * 7 + 1) % 100], k=8)) for k in range(100)]
+    got, scores, borne = language.decide(new, filters)
+    for text, lang, score in zip(new, got, scores):
+        grams = language.grams_of([language.letters_of(text)])[0].tolist()
+        exact = {k: sum(g in s for g in grams) / filters.own[filters.languages.index(k)] for k, s in sets.items()}
+        assert lang == max(exact, key=exact.get)
+        assert abs(score - exact[lang] / sum(exact.values())) < 0.02
+    assert got == [f"l{k:03}" for k in range(100)] and all(borne)
+
+
+def test_more_languages_than_tables_are_made_for(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    docs = spark.createDataFrame([(k, "some text", str(k)) for k in range(4)], "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError):
+        language.learn(docs, F.col("lang"))
+
+
+def test_a_text_of_no_learned_language_goes(spark, docs):
+    filters = language.learn(docs, F.col("lang"))
+    greek = "η γλώσσα αυτή δεν υπάρχει πουθενά στα κείμενα που έχουμε διαβάσει ως τώρα "
+    rows = [(1, greek * 3), (2, "γεια"), (3, "12 34"), (4, None), (5, docs.where("text is not null").first().text), (6, "zqxj " * 60)]
+    kept = language.keep_identified(spark.createDataFrame(rows, "doc_id bigint, text string"), filters)
+    assert {r.doc_id for r in kept.collect()} == {2, 5}
+
+
+def test_the_stage_keeps_every_clean_document(spark):
+    docs = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet")
+    kept = language.keep_identified(docs, language.learn(docs, F.col("lang")))
+    assert kept.count() == docs.where("text rlike '[^\\\\W\\\\d_]'").count()
