@@ -13,9 +13,9 @@ from ..functions import vocab
 from .lookup import checked_broadcast
 
 BIN_BITS = 14
-# A piece takes about 100 bytes; chains between two assemblies of a genome give
-# some hundred thousand pieces.
-BROADCAST_PIECES = 1_000_000
+# A piece takes about 150 bytes of a broadcast table, which the driver builds; chains
+# between two assemblies of a genome give some two hundred thousand pieces.
+BROADCAST_PIECES = 300_000
 
 
 def best_pieces(blocks: DataFrame, bin_bits: int = BIN_BITS) -> DataFrame:
@@ -73,8 +73,9 @@ def best_pieces(blocks: DataFrame, bin_bits: int = BIN_BITS) -> DataFrame:
     )
     asked = pieces.select("t_chrom", "bin", "p_start", "p_end", levels).withColumn(
         "node", F.call_function("shiftright", F.col("p_start"), F.col("level")))
+    # A block has many nodes, which the engine's estimate does not count: never broadcast them.
     return (
-        asked.join(nodes, ["t_chrom", "level", "node"])
+        asked.join(nodes.hint("merge"), ["t_chrom", "level", "node"])
         .groupBy("t_chrom", "bin", "p_start", "p_end").agg(F.max("hit").alias("hit"))
         .select("t_chrom", "bin", "p_start", "p_end", "hit.q_chrom", "hit.origin", "hit.step")
     )
@@ -165,7 +166,7 @@ def lift_variants(variants: DataFrame, blocks: DataFrame, bin_bits: int = BIN_BI
     """
     columns = variants.columns
     is_source = F.col("reference_genome").eqNullSafe(vocab.BUILD_SOURCE)
-    pieces = checked_broadcast(best_pieces(blocks, bin_bits), broadcast_pieces)
+    pieces = checked_broadcast(best_pieces(blocks, bin_bits), broadcast_pieces, beyond="merge")
     started = lift_position(variants.where(is_source), pieces, "chromosome", "start_position",
                             "_s_chrom", "_s_pos", bin_bits, prefixed, "_s_step")
     ended = lift_position(started, pieces, "chromosome", "end_position",

@@ -10,11 +10,16 @@ from .dedupe import keep_last
 BROADCAST_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, beyond: str | None = None) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the join to
-    a shuffle with skew splitting. ``df`` is computed once, for check and use."""
+    a shuffle with skew splitting. ``df`` is computed once, for check and use.
+
+    ``beyond`` is a hint for the larger table. With "merge" the engine cannot broadcast it by its estimate,
+    which a checkpoint inherits and which does not count rows that were exploded."""
     table = checkpointed(df)
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+    if table.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(table)
+    return table.hint(beyond) if beyond else table
 
 
 def join_with_suffix(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:

@@ -172,3 +172,26 @@ def test_variants_are_turned_on_the_other_strand(spark):
     plain = {(r["i"], r["chromosome"]): r for r in lift_variants(points, blocks).collect()}
     assert all(plain[i, "1"]["reference_allele"] == made[i][2] and plain[i, "1"]["end_position"] <= plain[i, "1"]["start_position"]
                for i in range(len(made)))
+
+
+def test_many_pieces_are_never_broadcast(spark, tmp_path):
+    """The file of blocks is small, what is exploded from it is not, and the engine only knows the former."""
+    path = str(tmp_path / "blocks")
+    spark.range(3000).select(
+        F.lit(1).cast("long").alias("chain_id"), F.lit(1).cast("long").alias("score"), F.lit("chr1").alias("t_chrom"),
+        (F.col("id") * 50_000).alias("t_start"), (F.col("id") * 50_000 + 40_001).alias("t_end"), F.lit("chr2").alias("q_chrom"),
+        (F.col("id") * 50_000 + 7).alias("q_start"), F.lit(10**10).alias("q_size"), F.lit("+").alias("strand")).write.parquet(path)
+    blocks = spark.read.parquet(path)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastExchange" not in plan(lo.best_pieces(blocks))
+    points = spark.range(20_000).select(
+        F.lit("1").alias("chromosome"), (F.col("id") * 7_500 + 1).alias("start_position"),
+        (F.col("id") * 7_500 + 2).alias("end_position"), F.lit("GRCh37").alias("reference_genome"))
+    lifted = lo.lift_variants(points, blocks, broadcast_pieces=1000)
+    assert "Broadcast" not in plan(lifted)
+    # Of every 50,000 bases the first 40,001 are covered.
+    assert lo.lift_summary(lifted).head().lifted == points.where("(start_position - 1) % 50000 <= 40000").count()
+    assert rows(lifted.where("start_position = 7508"), "chromosome", "start_position", "end_position") == [("2", 7508, 7509)]
