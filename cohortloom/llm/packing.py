@@ -31,21 +31,22 @@ def binary_lengths(n: int, limit: int) -> Iterator[int]:
             yield power
 
 
-def pack(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = 1, cache_pieces: int | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids (little-endian unsigned
     32-bit), sequence_id, offset, bucket (binary logarithm of the length).
 
     ``limit`` is a power of two. There is no shuffle: pieces stay where their document was
     read, sequences are numbered by input partition. A null or empty text is the end id
     alone; a null doc_id stays null; repeated rows are packed each; an empty table gives
-    no rows; other columns are not read.
+    no rows; other columns are not read. ``cache_pieces`` bounds the words whose ids a worker keeps, for
+    as long as it lives.
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("the limit must be a power of two")
     end = end_id.to_bytes(4, "little")
 
     def cut(batches):
-        encoder = piece_encoder(tokenizer)
+        encoder = piece_encoder(tokenizer, cache_pieces)
         for batch in batches:
             rows, size = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -31,7 +31,7 @@ MATCHES = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 WORD = re.compile(f"[{LETTER}]+")
 
-#: Pieces kept at most; then the cache starts anew.
+#: Pieces kept at most, of about 250 bytes each; then the cache starts anew.
 CACHE_PIECES = 800_000
 #: Longer pieces are encoded but not kept.
 CACHE_CHARS = 48
@@ -89,7 +89,8 @@ def packed(ids: Sequence[int]) -> bytes:
 class PieceEncoder:
     """Ids as little-endian unsigned 32-bit integers, equal to those of the tokenizer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_pieces: int | None = None):
+        self.cache_pieces = CACHE_PIECES if cache_pieces is None else cache_pieces
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -103,7 +104,7 @@ class PieceEncoder:
             return b""
         head, *words = CUT.split(text) if BLANK_RUN.search(text) else text.split(" ")
         first = packed(self.tokenizer.encode(head, add_special_tokens=False).ids) if head else b""
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > self.cache_pieces:
             self.cache.clear()
             self.cache.matches.clear()
         return first + b"".join(map(self.cache.__getitem__, words))
@@ -115,6 +116,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def piece_encoder(path: str) -> PieceEncoder:
-    """One encoder per worker process and tokenizer."""
-    return PieceEncoder(path)
+def piece_encoder(path: str, cache_pieces: int | None = None) -> PieceEncoder:
+    """One encoder per worker process, tokenizer and size of cache."""
+    return PieceEncoder(path, cache_pieces)

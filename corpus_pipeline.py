@@ -15,6 +15,8 @@ from cohortloom.session import staged
 
 #: Stages carry whole rows, so workers get less of them at a time than for a single operator.
 BATCH_BYTES = str(4 << 20)
+#: Workers outlive their stage and keep their words (250 bytes each) beside what the next one needs.
+CACHE_PIECES = 200_000
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two lengths with their token ids."""
-    return packing.pack(prepared(docs, BATCH_BYTES), BYTE_BPE)
+    return packing.pack(prepared(docs, BATCH_BYTES), BYTE_BPE, cache_pieces=CACHE_PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

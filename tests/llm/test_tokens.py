@@ -152,3 +152,11 @@ def test_every_near_character_alone_and_among_others():
     for code in range(0x250):
         for text in (f"a {chr(code)}", f"a x{chr(code)}y", f"a 1{chr(code)}2", f"a !{chr(code)}?"):
             assert ENCODER.encode(text) == ids_of(text, 0)[:-4], (code, text)
+
+
+def test_the_bound_of_the_cache_is_kept():
+    own = PieceEncoder(queries.BYTE_BPE, cache_pieces=10)
+    for k in range(50):
+        text = f"a word{k} and another{k} of {k} words"
+        assert own.encode(text) == ENCODER.encode(text)
+        assert len(own.cache) <= 10 + len(text.split())
